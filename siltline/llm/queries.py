@@ -7,17 +7,38 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import canon, near
+from . import canon, groups, leaks, near, nearest
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(_table(spark, sf_dir, "vectors"), "id", "embeddings").toDF("id", "neighbour_id", "similarity")
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = nearest.nearest(_table(spark, sf_dir, "vectors"), "id", "embeddings").where("similarity >= 0.9")
+    return found.select(F.least("q", "n").alias("id_lo"), F.greatest("q", "n").alias("id_hi")).distinct()
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return groups.hash_to_min(groups.links(_table(spark, sf_dir, "pairwise_results")))
+
+
+def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return groups.groups(_table(spark, sf_dir, "pairwise_results"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_pairs(_table(spark, sf_dir, "documents"), "doc_id", "text", shingle=3, similarity=0.6).toDF("doc_lo", "doc_hi")
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.leaked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canon.same_look(_table(spark, sf_dir, "documents"), "doc_id", "text").toDF("doc_lo", "doc_hi")
 
