@@ -105,6 +105,7 @@ def _odd_class() -> str:
     """What step 1 to 4 may change; a text without these is only trimmed."""
     t = tables()
     moved = [chr(cp) for cp in [*range(0x80, 0x3100), *range(0xF900, 0xFB00)] if unicodedata.normalize("NFC", chr(cp)) != chr(cp) or unicodedata.category(chr(cp)) == "Mn"]
+    moved += list(_CYR_ONLY)  # a Cyrillic word may hold Latin look-alikes only
     return _class([*t["gone"], *(c for c in t["one"] if c != "\t"), *t["many"], *moved])
 
 

@@ -7,13 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import canon, groups, leaks, near, nearest
+from . import canon, groups, language, leaks, near, nearest
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p1_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "interleaved")).select("src", "rec_id", "seg_no", "lang", "confidence")
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.mislabelled(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "interleaved"))
+
+
 def p2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(_table(spark, sf_dir, "vectors"), "id", "embeddings").toDF("id", "neighbour_id", "similarity")
 
