@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import canon, groups, language, leaks, near, nearest
+from . import canon, groups, language, leaks, near, nearest, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,14 @@ def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.groups(_table(spark, sf_dir, "pairwise_results"))
 
 
+def p5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "quality_labels")).withColumnRenamed("id", "doc_id")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "quality_labels")).where("verdict <> 'prose'").select(F.col("id").alias("doc_id")).distinct()
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_pairs(_table(spark, sf_dir, "documents"), "doc_id", "text", shingle=3, similarity=0.6).toDF("doc_lo", "doc_hi")
 
