@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import canon, groups, language, leaks, near, nearest, quality
+from . import canon, groups, language, leaks, mainbody, near, nearest, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,14 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.least("q", "n").alias("id_lo"), F.greatest("q", "n").alias("id_hi")).distinct()
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mainbody.main_lines(_table(spark, sf_dir, "web_pages")).select("page_id", "line_no").distinct()
+
+
+def p3_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mainbody.main_text(_table(spark, sf_dir, "web_pages"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.hash_to_min(groups.links(_table(spark, sf_dir, "pairwise_results")))
 
