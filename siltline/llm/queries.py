@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import canon, groups, language, leaks, mainbody, near, nearest, quality
+from . import canon, groups, language, leaks, mainbody, near, nearest, packing, quality, turns
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,10 +55,22 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "quality_labels")).where("verdict <> 'prose'").select(F.col("id").alias("doc_id")).distinct()
 
 
+def p6_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.turns(_table(spark, sf_dir, "manifest_a")).withColumnRenamed("id", "audio_filepath")
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p6_turns(spark, sf_dir).drop("text")
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_pairs(_table(spark, sf_dir, "documents"), "doc_id", "text", shingle=3, similarity=0.6).toDF("doc_lo", "doc_hi")
 
 
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), "doc_id", "text", capacity=2048)
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leaked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
 
