@@ -126,7 +126,19 @@ def _best(sims: np.ndarray, ids: np.ndarray, k: int) -> list[np.ndarray]:
     return out
 
 
-def _own_list(index, dim: int, k: int, block: int = 512):
+def _worth_asking(r: np.ndarray, estimate: np.ndarray, known: list[np.ndarray], error: float, k: int) -> np.ndarray:
+    """Which codes may still be among the k best, given what the other codes are at least worth."""
+    keep = np.ones(len(r), bool)
+    starts = np.searchsorted(r, np.arange(len(known) + 1))
+    for i in np.nonzero(np.diff(starts) > 1)[0]:
+        mine = estimate[starts[i] : starts[i + 1]]
+        sure = np.concatenate([known[i], mine - error])
+        if len(sure) >= k:
+            keep[starts[i] : starts[i + 1]] = mine > np.partition(sure, len(sure) - k)[len(sure) - k] - error
+    return keep
+
+
+def _own_list(index, dim: int, k: int, cells: int = 8_000_000):
     """Per list: exact neighbours within it, and requests for vectors of the lists probed."""
 
     def run(key: tuple, home: pa.Table, codes: pa.Table) -> pa.Table:
@@ -138,6 +150,7 @@ def _own_list(index, dim: int, k: int, block: int = 512):
             other, at = np.unique(codes["code_id"].to_numpy(), return_index=True)
             lists = codes["from_list"].to_numpy()[at]
             decoded = ix.decode(lists, _matrix(codes["code"], np.uint8, len(ix.books))[at]).astype(np.float32) if len(other) else np.zeros((0, dim), np.float32)
+            block = max(16, min(512, cells // max(len(ids), len(other), 1)))  # bounds the matrix of similarities
             for b in range(0, len(ids), block):
                 q = x[b : b + block]
                 sims = q @ x.T
@@ -154,7 +167,8 @@ def _own_list(index, dim: int, k: int, block: int = 512):
                 if len(other):
                     estimate = q @ decoded.T
                     r, c = np.nonzero(estimate > (floor - ix.error)[:, None])
-                    out[3].append(np.stack([ids[b + r], other[c], lists[c]], 1))
+                    keep = _worth_asking(r, estimate[r, c], [sims[i, x] for i, x in enumerate(best)], ix.error, k)
+                    out[3].append(np.stack([ids[b + r[keep]], other[c[keep]], lists[c[keep]]], 1))
         asked = np.concatenate(out[3]) if out[3] else np.zeros((0, 3), np.int64)
         n, m, home_list = len(out[0]), len(asked), int(key[0].as_py())
         return pa.table({
@@ -198,11 +212,11 @@ def _exact(dim: int):
 def nearest(df: DataFrame, id_col: str = "id", vector_col: str = "embeddings", k: int = 5, dim: int = 64, list_size: int = 3000, probe: int = 3, train: int = 20_000) -> DataFrame:
     """(q, n, similarity): for each usable vector its ``k`` most similar others by cosine.
 
-    ``train`` bounds the sample of the fit; at most 4,096 lists are made."""
+    ``train`` bounds the sample of the fit; at most 16,384 lists are made."""
     spark = df.sparkSession
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where("id IS NOT NULL AND v IS NOT NULL")
     total = rows.count()
-    lists = int(min(4096, max(1, total // list_size)))
+    lists = int(min(16_384, max(1, total // list_size)))
     train = max(train, 16 * lists)
     share = min(1_000_000, int(1.3e6 * train / max(total, 1)) + 1)
     sample = rows.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share).limit(train).toArrow()
