@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import staged
+
 # Letters of other scripts that look like Latin ones.
 CYRILLIC = "аеорсухіјѕһԁԛԝӏАВЕКМНОРСТХУЅІЈԚԜЁёЇї"
 LATIN_OF_CYRILLIC = "aeopcyxijshdqwlABEKMHOPCTXYSIJQWËëÏï"
@@ -195,7 +197,7 @@ def same_look(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", exp
     Groups of up to ``expand`` records give every such pair.  In a larger group, whose pairs grow
     with the square, each record is paired with the group's smallest id that has other characters,
     which still links every member.  Only the hashes are shuffled, never a text."""
-    rows = looks(df, id_col, text_col)
+    rows = staged(looks(df, id_col, text_col))
     groups = rows.groupBy("look").agg(F.count("*").alias("n"), F.min("chars").alias("c0"), F.max("chars").alias("c1"), F.min("id").alias("first"), F.min_by("chars", "id").alias("first_chars")).where("c0 <> c1")
     member = rows.join(groups, "look")
     small = member.where(F.col("n") <= expand).select("look", "id", "chars")
