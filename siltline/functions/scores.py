@@ -7,18 +7,21 @@ that is undefined, for an empty text say, is null; a null score keeps nothing.""
 from __future__ import annotations
 
 import ast
+import functools
 import io
+import operator
 import re
 import tokenize
 from collections.abc import Callable
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .expr import SPACE_CLASS, count_of, deferred, lines, paragraphs, ratio, strip, total, words
+from .expr import BLANK, SPACE_CLASS, VISIBLE, chars_in, count_of, deferred, joined_length, lines, lines_ending, paragraphs, ratio, strip, whole_words, word_total, words
 
 
 @dataclass(frozen=True)
@@ -72,36 +75,34 @@ _or_one = lambda text, score: F.when(F.length(text) == 0, F.lit(1.0)).otherwise(
 
 
 def non_alphanumeric(limit: float = 0.25) -> Rule:
-    return Rule("non_alphanumeric", lambda t: _or_one(t, 1 - ratio(count_of(t, ALPHANUMERIC), F.length(t))), at_most(limit))
+    return Rule("non_alphanumeric", lambda t: _or_one(t, 1 - ratio(chars_in(t, ALPHANUMERIC), F.length(t))), at_most(limit))
 
 
 def symbols_to_words(limit: float = 0.1) -> Rule:
-    """Words that are an ellipsis or consist to more than a half of runs of #."""
-
-    def is_symbol(w: Column) -> Column:
-        return w.isin(*ELLIPSES) | (count_of(w, "#+") > F.length(w) * 0.5)
-
-    return Rule("symbols_to_words", lambda t: ratio(F.size(F.filter(words(t), is_symbol)), F.size(words(t))), at_most(limit))
+    """Words that are an ellipsis or consist to more than a half of runs of #: such a word is # and
+    single other characters in turn, with # at both ends."""
+    marks = "|".join(re.escape(m) for m in ELLIPSES if " " not in m)
+    return Rule("symbols_to_words", lambda t: ratio(whole_words(t, f"{marks}|#(?:[^#{SPACE_CLASS}]#)*"), word_total(t)), at_most(limit))
 
 
 def numbers(limit: float = 0.15) -> Rule:
-    return Rule("numbers", lambda t: _or_one(t, ratio(count_of(t, r"\p{Nd}"), F.length(t))), at_most(limit))
+    return Rule("numbers", lambda t: _or_one(t, ratio(chars_in(t, r"\p{Nd}"), F.length(t))), at_most(limit))
 
 
 def urls(limit: float = 0.2) -> Rule:
-    return Rule("urls", lambda t: _or_one(t, ratio(total(F.regexp_extract_all(t, F.lit(URL), 0), F.length), F.length(t))), at_most(limit))
+    return Rule("urls", lambda t: _or_one(t, ratio(joined_length(F.regexp_extract_all(t, F.lit(URL), 0)), F.length(t))), at_most(limit))
 
 
 def bullets(limit: float = 0.9) -> Rule:
-    return Rule("bullets", lambda t: ratio(F.size(F.filter(lines(t), lambda s: strip(s).rlike(f"^[{BULLETS}]"))), F.size(lines(t))), at_most(limit))
+    return Rule("bullets", lambda t: ratio(count_of(t, f"(?<![^\\n])[{BLANK}]*[{BULLETS}]"), F.size(lines(t))), at_most(limit))
 
 
 def white_space(limit: float = 0.25) -> Rule:
-    return Rule("white_space", lambda t: _or_one(t, ratio(count_of(t, r"[\t\n\r\u0008 ]"), F.length(t))), at_most(limit))
+    return Rule("white_space", lambda t: _or_one(t, ratio(chars_in(t, r"[\t\n\r\u0008 ]"), F.length(t))), at_most(limit))
 
 
 def parentheses(limit: float = 0.1) -> Rule:
-    return Rule("parentheses", lambda t: _or_one(t, ratio(count_of(t, r"[{}⟨⟩\[\]()]"), F.length(t))), at_most(limit))
+    return Rule("parentheses", lambda t: _or_one(t, ratio(chars_in(t, r"[{}⟨⟩\[\]()]"), F.length(t))), at_most(limit))
 
 
 def long_word(limit: int = 1000) -> Rule:
@@ -109,47 +110,47 @@ def long_word(limit: int = 1000) -> Rule:
 
 
 def word_count(low: int = 50, high: int = 100_000) -> Rule:
-    return Rule("word_count", lambda t: F.size(words(t)), between(low, high))
+    return Rule("word_count", lambda t: word_total(t), between(low, high))
 
 
 def boilerplate(limit: float = 0.4) -> Rule:
     """1 with lorem ipsum, else the share of paragraphs with a policy phrase."""
 
     def score(t: Column) -> Column:
-        paras = F.transform(paragraphs(t), lambda p: F.lower(strip(p)))
-        bad = F.filter(paras, lambda p: F.greatest(*[p.contains(s) for s in POLICY]))
-        return F.when(F.exists(paras, lambda p: p.contains("lorem ipsum")), F.lit(1.0)).when(F.length(t) == 0, F.lit(0.0)).otherwise(ratio(F.size(bad), F.size(paras)))
+        low = F.lower(t)
+        any_of = lambda x: functools.reduce(operator.or_, [x.contains(s) for s in POLICY])
+        bad = F.filter(paragraphs(low), any_of)  # only texts with a phrase are taken apart
+        return F.when(low.contains("lorem ipsum"), F.lit(1.0)).when(~any_of(low), F.lit(0.0)).otherwise(ratio(F.size(bad), F.size(paragraphs(t))))
 
     return Rule("boilerplate", score, at_most(limit))
 
 
 def mean_word_length(low: float = 3, high: float = 10) -> Rule:
-    return Rule("mean_word_length", lambda t: ratio(total(words(t), F.length), F.size(words(t))), between(low, high))
+    return Rule("mean_word_length", lambda t: ratio(chars_in(t, VISIBLE), word_total(t)), between(low, high))
 
 
 def punctuation(limit: float = 0.85) -> Rule:
     """Share of lines that do not end in an end mark."""
-    return Rule("punctuation", lambda t: ratio(F.size(F.filter(lines(t), lambda s: ~strip(s).rlike("[.?!\"']$"))), F.size(lines(t))), at_most(limit))
+    return Rule("punctuation", lambda t: ratio(F.size(lines(t)) - lines_ending(t, "[.?!\"']"), F.size(lines(t))), at_most(limit))
 
 
 def ellipsis(limit: float = 0.3) -> Rule:
-    def ends(s: Column) -> Column:
-        low = F.lower(strip(s))
-        return F.greatest(*[low.endswith(m) for m in ELLIPSES])
-
-    return Rule("ellipsis", lambda t: ratio(F.size(F.filter(lines(t), ends)), F.size(lines(t))), at_most(limit))
+    marks = "|".join(re.escape(m) for m in ELLIPSES)
+    return Rule("ellipsis", lambda t: ratio(lines_ending(F.lower(t), marks), F.size(lines(t))), at_most(limit))
 
 
 def common_english_words(least: int = 2, stop_early: bool = True) -> Rule:
     def score(t: Column) -> Column:
-        n = F.size(F.filter(words(t), lambda w: w.isin(*COMMON_WORDS)))
+        n = whole_words(t, "|".join(COMMON_WORDS))
         return F.least(n, F.lit(least)) if stop_early and least >= 1 else n
 
     return Rule("common_english_words", score, at_least(least))
 
 
 def words_without_alphabets(least: float = 0.8) -> Rule:
-    return Rule("words_without_alphabets", lambda t: ratio(F.size(F.filter(words(t), lambda w: w.rlike(r"\p{IsAlphabetic}"))), F.size(words(t))), at_least(least))
+    """Share of words with an alphabetic character; the few without one are what is counted."""
+    bare = f"[{VISIBLE}&&[^\\p{{IsAlphabetic}}]]+"
+    return Rule("words_without_alphabets", lambda t: ratio(word_total(t) - whole_words(t, bare), word_total(t)), at_least(least))
 
 
 def pornographic_urls() -> Rule:
@@ -172,11 +173,11 @@ def repeated_paragraphs(least: float = 0.7) -> Rule:
 
 
 def repeated_lines_by_char(least: float = 0.8) -> Rule:
-    return Rule("repeated_lines_by_char", lambda t: ratio(total(F.array_distinct(lines(t)), F.length), total(lines(t), F.length)), at_least(least))
+    return Rule("repeated_lines_by_char", lambda t: ratio(joined_length(F.array_distinct(lines(t))), joined_length(lines(t))), at_least(least))
 
 
 def repeated_paragraphs_by_char(least: float = 0.8) -> Rule:
-    return Rule("repeated_paragraphs_by_char", lambda t: ratio(total(F.array_distinct(paragraphs(t)), F.length), total(paragraphs(t), F.length)), at_least(least))
+    return Rule("repeated_paragraphs_by_char", lambda t: ratio(joined_length(F.array_distinct(paragraphs(t))), joined_length(paragraphs(t))), at_least(least))
 
 
 _WS = re.compile("[" + re.sub(r"\\u(\w{4})", lambda m: chr(int(m[1], 16)), SPACE_CLASS) + "]+")
@@ -186,37 +187,56 @@ def _split(text: str) -> list[str]:
     return [w for w in _WS.split(text) if w]
 
 
+class Grams:
+    """Word n-grams of a text as hashes, for several n."""
+
+    def __init__(self, text: str):
+        self.text, self.words = text, _split(text)
+        ids: dict[str, int] = {}
+        self.ids = np.array([ids.setdefault(w, len(ids)) for w in self.words], np.uint64)
+        self.ends = np.cumsum([0, *map(len, self.words)])
+        self.hashes: dict[int, np.ndarray] = {}
+
+    def of(self, n: int) -> np.ndarray:
+        if n not in self.hashes:
+            x = (self.ids + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+            if n == 1:
+                self.hashes[n] = x
+            else:  # the shorter n-gram, and its last word
+                h = self.of(n - 1)[:-1]
+                self.hashes[n] = (h ^ (h >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F) + x[n - 1 :]
+        return self.hashes[n]
+
+    def top_share(self, n: int) -> float:
+        """Share of characters that go with the most frequent n-gram, the first of equals."""
+        if len(self.words) < n:
+            return 1.0
+        _, first, count = np.unique(self.of(n), return_index=True, return_counts=True)
+        at = int(first[count == count.max()].min())
+        most = " ".join(self.words[at : at + n])
+        return self.text.count(most) * len(most) / len(self.text)
+
+    def duplicate_share(self, n: int) -> float:
+        """Share of characters inside n-grams that came before; overlaps count once."""
+        if len(self.words) < n:
+            return 1.0
+        h = self.of(n)
+        again = np.ones(len(h), bool)
+        again[np.unique(h, return_index=True)[1]] = False
+        at = np.nonzero(again)[0]
+        if not len(at):
+            return 0.0
+        covered = np.maximum(0, n - np.diff(at, prepend=at[0] - n))  # leading words that are counted already
+        chars = self.ends[at + n] - self.ends[at + covered] + np.minimum(n - covered, n - 1)
+        return int(chars.sum()) / len(self.text)
+
+
 def top_ngram_share(text: str | None, n: int) -> float | None:
-    """Share of characters that go with the most frequent word n-gram, the first of equals."""
-    if text is None:
-        return None
-    ws = _split(text)
-    if len(ws) < n:
-        return 1.0
-    seen: dict[tuple[str, ...], int] = {}
-    for gram in zip(*(ws[i:] for i in range(n))):
-        seen[gram] = seen.get(gram, 0) + 1
-    most = " ".join(max(seen, key=seen.get))
-    return text.count(most) * len(most) / len(text)
+    return None if text is None else Grams(text).top_share(n)
 
 
 def duplicate_ngram_share(text: str | None, n: int) -> float | None:
-    """Share of characters inside word n-grams that came before; overlaps count once."""
-    if text is None:
-        return None
-    ws = _split(text)
-    if len(ws) < n:
-        return 1.0
-    seen: set[tuple[str, ...]] = set()
-    chars, covered = 0, 0  # covered: leading words of the n-gram that are counted already
-    for gram in zip(*(ws[i:] for i in range(n))):
-        if gram in seen:
-            chars += sum(map(len, gram[covered:])) + min(n - covered, n - 1)
-            covered = n
-        else:
-            seen.add(gram)
-        covered = max(0, covered - 1)
-    return chars / len(text)
+    return None if text is None else Grams(text).duplicate_share(n)
 
 
 def _batched(fn: Callable[[str | None], object], kind: str) -> Callable[[Column], Column]:
@@ -240,7 +260,8 @@ def repetition_shares(tops: tuple[int, ...] = (2, 3, 4), duplicates: tuple[int,
     names = [f"top_{n}" for n in tops] + [f"dup_{n}" for n in duplicates]
 
     def run(texts: pd.Series) -> pd.DataFrame:
-        rows = [[top_ngram_share(t, n) for n in tops] + [duplicate_ngram_share(t, n) for n in duplicates] for t in texts]
+        one = lambda g: [g.top_share(n) for n in tops] + [g.duplicate_share(n) for n in duplicates]
+        rows = [[None] * len(names) if t is None else one(Grams(t)) for t in texts]
         return pd.DataFrame(rows, columns=names, dtype="float64")
 
     run.__annotations__ = {"texts": pd.Series, "return": pd.DataFrame}
@@ -328,7 +349,7 @@ def xml_header(prefix: int = 100) -> Rule:
 
 
 def alphabetic(least: float = 0.25) -> Rule:
-    return Rule("alpha", lambda t: ratio(count_of(t, r"\p{IsAlphabetic}"), F.length(t)), at_least(least))
+    return Rule("alpha", lambda t: ratio(chars_in(t, r"\p{IsAlphabetic}"), F.length(t)), at_least(least))
 
 
 class _Visible(HTMLParser):
@@ -374,7 +395,7 @@ def per_extension(df: DataFrame, limits: DataFrame, language: str, extension: st
     sizes = F.transform(F.split(t, "\n"), F.length)
     passes = (
         (F.coalesce(m.line_max, F.lit(0)) == 0) | ((F.array_max(sizes) <= m.line_max) & (ratio(F.length(t) + 1, F.size(sizes)) - 1 <= 100))
-    ) & (F.coalesce(m.alphanum_min, F.lit(0.0)) <= F.coalesce(ratio(count_of(t, ALPHANUMERIC), F.length(t)), F.lit(0.0))) & (F.coalesce(m.alpha_min, F.lit(0.0)) * F.length(t) <= count_of(t, r"\p{L}"))
+    ) & (F.coalesce(m.alphanum_min, F.lit(0.0)) <= F.coalesce(ratio(chars_in(t, ALPHANUMERIC), F.length(t)), F.lit(0.0))) & (F.coalesce(m.alpha_min, F.lit(0.0)) * F.length(t) <= count_of(t, r"\p{L}"))
     joined = df.join(F.broadcast(row), how="left")
     return joined.withColumn(output_col, F.when(t.isNotNull(), (F.coalesce(m.include, F.lit(False)) & passes).cast("int"))).drop("__limits")
 

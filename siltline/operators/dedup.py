@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import staged, unstage
+from ..session import spread, staged, unstage
 
 
 def shuffle_on(df: DataFrame, keys: Sequence[str], parts: int | None = None) -> DataFrame:
@@ -41,21 +41,18 @@ def remove(df: DataFrame, ids: DataFrame, id_col: str = "id", duplicate_id_col:
 
 # --- fuzzy ---------------------------------------------------------------------------------------
 
-PRIME = (1 << 31) - 1
+def permutations(hashes: int, seed: int) -> np.ndarray:
+    """Odd multipliers: the upper half of a product with one is a random order of the n-grams."""
+    return np.random.RandomState(seed).randint(1, 1 << 62, hashes, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def permutations(hashes: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.RandomState(seed)
-    return rng.randint(1, PRIME, hashes, dtype=np.int64).astype(np.uint64), rng.randint(0, PRIME, hashes, dtype=np.int64).astype(np.uint64)
-
-
-def minhash(text: str | None, a: np.ndarray, b: np.ndarray, ngram: int) -> np.ndarray | None:
+def minhash(text: str | None, multipliers: np.ndarray, ngram: int) -> np.ndarray | None:
     """Signature of the character n-grams; a shorter text is one n-gram."""
     if text is None:
         return None
     data = text.encode("utf-32-le", "surrogatepass")
     if len(data) <= 4 * ngram:
-        x = np.array([xxhash.xxh32_intdigest(data)], np.uint64)
+        x = np.array([xxhash.xxh3_64_intdigest(data)], np.uint64)
     else:
         points = np.frombuffer(data, np.uint32).astype(np.uint64)
         power = np.uint64(0x9E3779B97F4A7C15)
@@ -63,18 +60,16 @@ def minhash(text: str | None, a: np.ndarray, b: np.ndarray, ngram: int) -> np.nd
         for j in range(ngram):  # a polynomial of the n-gram's characters, modulo 2**64
             h = h * power + points[j : len(points) - ngram + 1 + j]
         h ^= h >> np.uint64(31)
-        x = np.unique((h * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(33))
-    out = np.full(len(a), PRIME, np.uint64)
-    for i in range(0, len(x), 2048):
-        out = np.minimum(out, ((x[i : i + 2048, None] * a + b) % np.uint64(PRIME)).min(0))
-    return out.astype(np.int64)
+        x = h * np.uint64(0xD6E8FEB86659FD93)
+        x ^= x >> np.uint64(32)
+    return np.array([(x * m).min() >> np.uint64(33) for m in multipliers], np.int64)
 
 
 def _signatures(hashes: int, ngram: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = permutations(hashes, seed)
+        multipliers = permutations(hashes, seed)
         for batch in batches:
-            signatures = [minhash(t, a, b, ngram) for t in batch.column(1).to_pylist()]
+            signatures = [minhash(t, multipliers, ngram) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signatures, pa.list_(pa.int64()))], ["id", "signature"])
 
     return run
@@ -82,7 +77,7 @@ def _signatures(hashes: int, ngram: int, seed: int):
 
 def minhash_signatures(df: DataFrame, id_col: str = "id", text_col: str = "text", hashes: int = 260, ngram: int = 24, seed: int = 42) -> DataFrame:
     """(id, signature) of every text that is not null."""
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).where("t IS NOT NULL")
+    rows = spread(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).where("t IS NOT NULL"))
     return rows.mapInArrow(_signatures(hashes, ngram, seed), f"id {rows.schema['id'].dataType.simpleString()}, signature array<long>")
 
 

@@ -13,6 +13,7 @@ from ..functions import modifiers as M
 from ..functions import scores as S
 from ..functions.expr import SPACE_CLASS
 from ..operators import dedup, score_filter, split_join
+from ..session import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -129,7 +130,7 @@ def heuristic_cascade(df: DataFrame, rules: list[S.Rule], text_col: str = "text"
     """Rules in order; the n-gram rules of a cascade share one pass through Python."""
     jvm = [r for r in rules if not r.name.startswith("repeating_")]
     grams = [r for r in rules if r.name.startswith("repeating_")]
-    out = score_filter.score_filter(df, jvm, text_col)
+    out = score_filter.score_filter(spread(df), jvm, text_col)
     if grams:
         name = lambda r: ("top_" if "top" in r.name else "dup_") + "".join(c for c in r.name if c.isdigit())
         sizes = lambda kind: tuple(int(name(r)[4:]) for r in grams if name(r).startswith(kind))

@@ -15,7 +15,7 @@ from ..functions import models
 from ..functions import modifiers as M
 from ..functions import scores as S
 from ..operators import score_filter
-from ..session import shared_dir
+from ..session import shared_dir, spread
 from ..sources import archives, files, sinks
 from . import pipeline
 from .demo import DW, WS, register, table
@@ -32,7 +32,7 @@ def _html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as HTML, a paragraph per line."""
     line = lambda x: F.concat(F.lit("<p>"), x, F.lit("</p>"))
     body = F.array_join(F.transform(F.split("text", "\n"), line), "\n")
-    return table(spark, sf_dir, "web_pages").where("text IS NOT NULL").select("page_id", "url", F.concat(F.lit("<html><head><title>page</title></head><body>"), body, F.lit("</body></html>")).alias("html"))
+    return spread(table(spark, sf_dir, "web_pages")).where("text IS NOT NULL").select("page_id", "url", F.concat(F.lit("<html><head><title>page</title></head><body>"), body, F.lit("</body></html>")).alias("html"))
 
 
 @register("x01_html_blocks")

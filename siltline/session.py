@@ -47,6 +47,13 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where there are fewer partitions than cores, as with one small file; what has
+    enough partitions, which is everything large, stays as it is and is not shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 _written: list[tuple[SparkSession, str]] = []
 
 

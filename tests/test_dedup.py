@@ -38,14 +38,14 @@ def test_remove(spark, gone, left):
 
 def test_minhash_estimates_jaccard():
     rng = random.Random(1)
-    a, b = D.permutations(260, 42)
+    m = D.permutations(260, 42)
     texts = ["".join(rng.choice("abcd ") for _ in range(200)) for _ in range(3)]
     texts += [texts[0][:150] + texts[1][:50], texts[0][:190] + "xxxxxxxxxx", "short", ""]
     for x, y in itertools.combinations(texts[:5], 2):
         sx, sy = ({t[i : i + 5] for i in range(len(t) - 4)} for t in (x, y))
-        same = (D.minhash(x, a, b, 5) == D.minhash(y, a, b, 5)).mean()
+        same = (D.minhash(x, m, 5) == D.minhash(y, m, 5)).mean()
         assert abs(same - len(sx & sy) / len(sx | sy)) < 0.15
-    assert (D.minhash(texts[0], a, b, 5) == D.minhash(texts[0], a, b, 5)).all() and D.minhash(None, a, b, 5) is None
+    assert (D.minhash(texts[0], m, 5) == D.minhash(texts[0], m, 5)).all() and D.minhash(None, m, 5) is None
 
 
 def test_fuzzy(spark):
