@@ -15,7 +15,7 @@ from ..functions import models
 from ..functions import modifiers as M
 from ..functions import scores as S
 from ..operators import score_filter
-from ..session import shared_dir, spread
+from ..session import remove_at_exit, shared_dir, spread
 from ..sources import archives, files, sinks
 from . import pipeline
 from .demo import DW, WS, register, table
@@ -25,7 +25,9 @@ def _folder(spark: SparkSession, name: str) -> str:
     """A new folder in the shared folder for files a query writes and reads."""
     root = shared_dir(spark).removeprefix("file://")
     os.makedirs(root, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"siltline-{name}-", dir=root)
+    path = tempfile.mkdtemp(prefix=f"siltline-{name}-", dir=root)
+    remove_at_exit(spark, path)
+    return path
 
 
 def _html(spark: SparkSession, sf_dir: str) -> DataFrame:

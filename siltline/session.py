@@ -75,10 +75,14 @@ def staged(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/siltline-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    remove_at_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_at_exit(spark: SparkSession, path: str) -> None:
     if not _written:
         atexit.register(_remove)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
 
 
 def unstage(df: DataFrame) -> None:
