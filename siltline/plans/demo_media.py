@@ -169,7 +169,7 @@ def map_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("j06_interval_overlaps", "WITH e AS (SELECT event_id, event_type, epoch_ms(ts) AS a, epoch_ms(ts) + 60000 AS b FROM events WHERE user_id < 20) SELECT x.event_id AS left_id, y.event_id AS right_id FROM e x JOIN e y ON x.event_type = y.event_type AND x.a < y.b AND y.a < x.b AND x.event_id < y.event_id")
 def interval_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").where("user_id < 20").select("event_type", "event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("a"))
+    e = table(spark, sf_dir, "events").select("event_type", "event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("a"))
     x = e.select("event_type", F.col("event_id").alias("left_id"), F.col("a").alias("a0"), (F.col("a") + 60_000).alias("a1"))
     y = e.select("event_type", F.col("event_id").alias("right_id"), F.col("a").alias("b0"), (F.col("a") + 60_000).alias("b1"))
     return joins.interval_overlaps(x, y, "event_type", ("a0", "a1"), ("b0", "b1"), 60_000).where("left_id < right_id").select("left_id", "right_id")
