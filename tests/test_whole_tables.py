@@ -2,6 +2,9 @@
 
 import datetime
 
+import pytest
+
+from siltline.functions.metrics import word_distance
 from siltline.plans import demo
 
 
@@ -13,3 +16,14 @@ def test_interval_overlaps_of_every_user(spark, tmp_path):
     want = {(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and a[1] == b[1] and abs(a[2] - b[2]) < minute}
     got = [tuple(r) for r in demo.queries()["j06_interval_overlaps"](spark, str(tmp_path)).collect()]
     assert set(got) == want and len(got) == len(want) and any(rows[a][3] >= 20 for a, _ in want)
+
+
+def test_cer_of_every_script(spark, tmp_path):
+    texts = ["Plain Text", "ÉTÉ à Nice", "Ночной Сбор", "日本語", "ＡＢ 😀 Cd", "straße", "", None]
+    segments = [(t, float(i), i + 0.5, "a", (8000,)) for i, t in enumerate(texts)]
+    schema = "audio_filepath string, segments array<struct<text string, start double, end double, speaker string, metrics struct<bandwidth int>>>"
+    spark.createDataFrame([("x.wav", segments)], schema).write.parquet(f"{tmp_path}/manifest_a.parquet")
+    got = {r["start"]: r["cer"] for r in demo.queries()["e02_cer"](spark, str(tmp_path)).collect()}
+    # a list of characters is compared as word lists are
+    want = {float(i): pytest.approx(word_distance(list(t), list(t.lower())) * 100 / len(t), abs=1e-6) if t else None for i, t in enumerate(texts) if t is not None}
+    assert got == want and got[2.0] > 0
