@@ -194,17 +194,23 @@ def looks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
 def same_look(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", expand: int = 1000) -> DataFrame:
     """Pairs (``lo``, ``hi``) of records whose texts look the same but differ in their characters.
 
-    Groups of up to ``expand`` records give every such pair.  In a larger group, whose pairs grow
-    with the square, each record is paired with the group's smallest id that has other characters,
-    which still links every member.  Only the hashes are shuffled, never a text."""
+    Every such pair is given.  Exact copies form a class first, so only classes of one look meet, and
+    no pair of copies is ever made; the records of two classes are then joined.  Looks of more than
+    ``expand`` classes and classes of more than ``expand`` records are spread over several keys of the
+    joins.  Only the hashes are shuffled, never a text."""
     rows = staged(looks(df, id_col, text_col))
-    groups = rows.groupBy("look").agg(F.count("*").alias("n"), F.min("chars").alias("c0"), F.max("chars").alias("c1"), F.min("id").alias("first"), F.min_by("chars", "id").alias("first_chars")).where("c0 <> c1")
-    member = rows.join(groups, "look")
-    small = member.where(F.col("n") <= expand).select("look", "id", "chars")
-    left, right = small.toDF("look", "a", "ca"), small.toDF("look", "b", "cb")
-    pairs = left.join(right, "look").where("a < b AND ca <> cb").select(F.col("a").alias("lo"), F.col("b").alias("hi"))
-    big = member.where(F.col("n") > expand)
-    star = big.where("chars <> first_chars").select(F.col("first").alias("lo"), F.col("id").alias("hi"))
-    others = big.where("chars <> first_chars").groupBy("look").agg(F.min("id").alias("second"))
-    rest = big.where("chars = first_chars AND id <> first").join(others, "look").select(F.least("id", "second").alias("lo"), F.greatest("id", "second").alias("hi"))
-    return pairs.unionByName(star).unionByName(rest)
+    mixed = rows.groupBy("look").agg(F.min("chars").alias("c0"), F.max("chars").alias("c1")).where("c0 <> c1").select("look")
+    member = staged(rows.join(mixed, "look", "left_semi"))
+    classes = member.groupBy("look", "chars").agg(F.count("*").alias("n"))
+    parts = lambda c: F.ceil(F.col(c) / expand).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    part = lambda c, of: F.pmod(F.xxhash64(c), F.col(of)).cast("int")
+    of_look = classes.groupBy("look").agg(F.count("*").alias("v")).select("look", parts("v").alias("salts"))
+    sized = classes.select("look", "chars", parts("n").alias("parts")).join(of_look, "look")
+    left = sized.select("look", F.col("chars").alias("ca"), F.col("parts").alias("pa"), every("salts").alias("salt"))
+    right = sized.select("look", F.col("chars").alias("cb"), F.col("parts").alias("pb"), part("chars", "salts").alias("salt"))
+    met = left.join(right, ["look", "salt"]).where("ca < cb").select("ca", "pa", "cb", "pb")
+    records = member.join(classes.select("chars", parts("n").alias("parts")), "chars").select("chars", "id", part("id", "parts").alias("part"))
+    first = met.select("ca", "cb", "pb", every("pa").alias("part")).join(records.select(F.col("chars").alias("ca"), "part", F.col("id").alias("a")), ["ca", "part"])
+    both = first.select("a", "cb", every("pb").alias("part")).join(records.select(F.col("chars").alias("cb"), "part", F.col("id").alias("b")), ["cb", "part"])
+    return both.where("a <> b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
