@@ -352,10 +352,21 @@ def notebook_text(source: str | None) -> str | None:
     return "\n\n".join(t.strip() for t in texts if t.strip())
 
 
+def _is_notebook(content: bytes) -> bool:
+    """Whether the whole content is a notebook's JSON, wherever its cells stand."""
+    if b'"cells"' not in content or b'"nbformat' not in content:
+        return False
+    try:
+        data = json.loads(content)
+    except (ValueError, RecursionError):
+        return False
+    return isinstance(data, dict) and isinstance(data.get("cells"), list) and ("nbformat" in data or "nbformat_minor" in data)
+
+
 def content_kind(content: bytes | None, mime: str | None = None, url: str | None = None) -> str:
-    """notebook, html or text, by the first bytes, the MIME type and the address."""
+    """notebook, html or text, by the content, the MIME type and the address."""
     begin = (content or b"").lstrip()[:512].lower()
-    if (url or "").lower().split("?")[0].endswith(".ipynb") or (begin.startswith(b"{") and b'"cells"' in (content or b"")[:100_000] and b'"nbformat' in (content or b"")):
+    if (url or "").lower().split("?")[0].endswith(".ipynb") or (begin.startswith(b"{") and _is_notebook(content)):
         return "notebook"
     if "html" in (mime or "").lower() or begin.startswith((b"<!doctype html", b"<html")) or b"<html" in begin or b"<body" in begin:
         return "html"

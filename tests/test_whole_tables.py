@@ -1,9 +1,11 @@
 """Queries that once left rows out, on small tables against brute force."""
 
 import datetime
+import json
 
 import pytest
 
+from siltline.functions import extract as X
 from siltline.functions.metrics import word_distance
 from siltline.plans import demo
 
@@ -27,3 +29,11 @@ def test_cer_of_every_script(spark, tmp_path):
     # a list of characters is compared as word lists are
     want = {float(i): pytest.approx(word_distance(list(t), list(t.lower())) * 100 / len(t), abs=1e-6) if t else None for i, t in enumerate(texts) if t is not None}
     assert got == want and got[2.0] > 0
+
+
+def test_notebook_with_large_metadata_and_no_address(spark):
+    book = {"metadata": {"widgets": {"state": "x" * 300_000}}, "nbformat": 4, "nbformat_minor": 5, "cells": [{"cell_type": "markdown", "source": ["a\n", "b"]}, {"cell_type": "code", "source": "c"}]}
+    other = {"pad": "x" * 300_000, "note": {"cells": [], "nbformat": 4}}
+    rows = [(1, json.dumps(book).encode()), (2, json.dumps(other).encode()), (3, b'{"cells" and "nbformat" in broken JSON')]
+    got = {r["i"]: (r["kind"], r["text"]) for r in X.extract_content(spark.createDataFrame(rows, "i int, content binary"), "content").collect()}
+    assert got == {1: ("notebook", "a\nb\n\nc"), 2: ("text", rows[1][1].decode()), 3: ("text", rows[2][1].decode())}
