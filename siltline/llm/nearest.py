@@ -3,14 +3,15 @@
 Coarse centroids and the codebooks of the residuals are fitted on a bounded sample (``train`` rows,
 chosen by a hash of the id); every vector is indexed.  A vector is in the list of its nearest
 centroid.  Its neighbours are looked for in its own list, where all vectors are at hand and the
-similarity is exact, and in the next ``probe`` lists, of which only the codes come.  The asymmetric
-distance of a query to a code is the sum of its table entries, one per sub-space; for the
-queries of a list together these sums are the product of the queries with the decoded codes, and
-they are computed as that.  A code whose estimate comes within the estimate's error of the fifth
-best known so far is requested, its vector is fetched, and the similarity is computed exactly.
+similarity is exact, and in the other lists whose centroids are nearest to the vector itself: as many
+as the square root of the number of lists, ``probe`` at least.  To these only the vector's code goes.
+The asymmetric distance of a code to the vectors of a list is the sum of table entries, one per
+sub-space; for the codes of a list together these sums are the product of the vectors with the decoded
+codes, and they are computed as that.  A vector whose estimate comes within the estimate's error of
+the fifth best known so far is requested, fetched, and the similarity is computed exactly.
 
-Shuffled are each vector once, its code ``probe`` times and the vectors requested.  Of more than
-``k + 1`` equal vectors in a batch the rest follow the first: their nearest are copies of themselves.
+Shuffled are each vector once, its code once for each list probed and the vectors requested.  Of more
+than ``k + 1`` equal vectors in a batch the rest follow the first: their nearest are copies of themselves.
 
 Unusable vectors (null, wrong length, not finite, all zero) have no row.  Repeated rows count once.
 Ties go to the smaller id.  With k or fewer usable vectors all the others come.  An empty table
@@ -56,13 +57,11 @@ def k_means(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
 
 
 class Index:
-    """Centroids, which lists each list probes, codebooks and the estimate's error."""
+    """Centroids, how many lists a vector probes, codebooks and the estimate's error."""
 
     def __init__(self, sample: np.ndarray, lists: int, probe: int, seed: int = 7):
         self.c = k_means(sample, lists, 12, seed)
-        near = np.argsort(-(self.c @ self.c.T - (self.c * self.c).sum(1)[None, :] / 2 - (self.c * self.c).sum(1)[:, None] / 2), axis=1)
-        self.probes = near[:, 1 : probe + 1]
-        self.probed_by = [np.nonzero((self.probes == j).any(1))[0].tolist() for j in range(lists)]
+        self.probe = min(lists - 1, max(probe, round(lists**0.5)))
         rest = sample - self.c[self.assign(sample)]
         self.width = sample.shape[1] // SUB if sample.shape[1] % SUB == 0 else sample.shape[1]
         subs = sample.shape[1] // self.width
@@ -75,6 +74,12 @@ class Index:
     def assign(self, x: np.ndarray) -> np.ndarray:
         return (x @ self.c.T - (self.c * self.c).sum(1) / 2).argmax(1)
 
+    def probes(self, x: np.ndarray, home: int) -> np.ndarray:
+        """The lists to search for each vector of a list, nearest to the vector, without the list itself."""
+        near = x @ self.c.T - (self.c * self.c).sum(1) / 2
+        near[:, home] = -np.inf
+        return np.argpartition(-near, self.probe - 1, axis=1)[:, : self.probe] if self.probe else np.zeros((len(x), 0), np.int64)
+
     def encode(self, x: np.ndarray) -> np.ndarray:
         rest, w = x - self.c[self.assign(x)], self.width
         return np.stack([(rest[:, s * w : (s + 1) * w] @ b.T - (b * b).sum(1) / 2).argmax(1) for s, b in enumerate(self.books)], 1).astype(np.uint8)
@@ -84,7 +89,7 @@ class Index:
 
 
 def _place(index, dim: int, k: int):
-    """(list, id, vector, code, follows): follows is the hash of the vector for copies beyond k + 1."""
+    """(list, id, vector, key, follows): follows is the hash of the vector for copies beyond k + 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = index.value
@@ -102,8 +107,8 @@ def _place(index, dim: int, k: int):
             nth[by] = np.arange(len(by)) - first
             follows = nth > k
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ix.assign(x).astype(np.int32)), pa.array(ids), pa.array([v.tobytes() for v in x], pa.binary()), pa.array([v.tobytes() for v in ix.encode(x)], pa.binary()), pa.array(keys), pa.array(follows)],
-                ["list", "id", "vector", "code", "key", "follows"],
+                [pa.array(ix.assign(x).astype(np.int32)), pa.array(ids), pa.array([v.tobytes() for v in x], pa.binary()), pa.array(keys), pa.array(follows)],
+                ["list", "id", "vector", "key", "follows"],
             )
 
     return run
@@ -126,59 +131,99 @@ def _best(sims: np.ndarray, ids: np.ndarray, k: int) -> list[np.ndarray]:
     return out
 
 
-def _worth_asking(r: np.ndarray, estimate: np.ndarray, known: list[np.ndarray], error: float, k: int) -> np.ndarray:
-    """Which codes may still be among the k best, given what the other codes are at least worth."""
+def _worth_asking(r: np.ndarray, estimate: np.ndarray, error: float, k: int) -> np.ndarray:
+    """Which vectors may still be among the k best of their query ``r`` (ascending), given what the
+    others are at least worth."""
     keep = np.ones(len(r), bool)
-    starts = np.searchsorted(r, np.arange(len(known) + 1))
-    for i in np.nonzero(np.diff(starts) > 1)[0]:
-        mine = estimate[starts[i] : starts[i + 1]]
-        sure = np.concatenate([known[i], mine - error])
-        if len(sure) >= k:
-            keep[starts[i] : starts[i + 1]] = mine > np.partition(sure, len(sure) - k)[len(sure) - k] - error
+    starts = np.nonzero(np.r_[True, r[1:] != r[:-1]])[0] if len(r) else np.zeros(0, np.int64)
+    ends = np.r_[starts[1:], len(r)]
+    for a, z in zip(starts[ends - starts > k], ends[ends - starts > k]):
+        mine = estimate[a:z]
+        keep[a:z] = mine > np.partition(mine, len(mine) - k)[len(mine) - k] - 2 * error
     return keep
 
 
 def _own_list(index, dim: int, k: int, cells: int = 8_000_000):
-    """Per list: exact neighbours within it, and requests for vectors of the lists probed."""
+    """Per list: exact neighbours within it, and for each vector a row without a neighbour: the k-th best
+    similarity so far, its code and the lists it probes."""
+
+    def run(key: tuple, home: pa.Table) -> pa.Table:
+        ix, home_list = index.value, int(key[0].as_py())
+        ids, first = np.unique(home["id"].to_numpy(), return_index=True)
+        x = _matrix(home["vector"], np.float32, dim)[first]
+        out: list[list] = [[], [], []]
+        floors, codes, probes = [], [], []
+        block = max(16, min(512, cells // max(len(ids), len(ix.c))))  # bounds the matrix of similarities
+        for b in range(0, len(ids), block):
+            q = x[b : b + block]
+            sims = q @ x.T
+            sims[np.arange(len(q)), np.arange(b, b + len(q))] = -2
+            floor = np.full(len(q), -1.0, np.float32)
+            for r, c in enumerate(_best(sims, ids, k)):
+                c = c[sims[r, c] > -2]
+                out[0] += [int(ids[b + r])] * len(c)
+                out[1] += ids[c].tolist()
+                out[2] += sims[r, c].tolist()
+                if len(c) == k:
+                    floor[r] = sims[r, c[-1]]
+            floors += floor.tolist()
+            codes += [v.tobytes() for v in ix.encode(q)]
+            probes += ix.probes(q, home_list).tolist()
+        n, m = len(out[0]), len(ids)
+        return pa.table({
+            "q": pa.array(out[0] + ids.tolist(), pa.int64()), "n": pa.array(out[1] + [None] * m, pa.int64()), "similarity": pa.array(out[2] + floors, pa.float32()),
+            "home": pa.array([home_list] * (n + m), pa.int32()), "code": pa.array([None] * n + codes, pa.binary()), "lists": pa.array([None] * n + probes, pa.list_(pa.int32())),
+        })
+
+    return run
+
 
-    def run(key: tuple, home: pa.Table, codes: pa.Table) -> pa.Table:
+def _probed(index, dim: int, k: int, cells: int = 8_000_000):
+    """Per list: its vectors that may be among the k best of the vectors whose codes came."""
+
+    def run(key: tuple, codes: pa.Table, home: pa.Table) -> pa.Table:
         ix = index.value
-        ids, first = np.unique(home["id"].to_numpy(), return_index=True) if home.num_rows else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        out: list[list] = [[], [], [], [], []]
-        if len(ids):
+        out: list[list] = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.float32)], [np.zeros(0, np.int32)]]
+        if codes.num_rows and home.num_rows:
+            ids, first = np.unique(home["id"].to_numpy(), return_index=True)
             x = _matrix(home["vector"], np.float32, dim)[first]
-            other, at = np.unique(codes["code_id"].to_numpy(), return_index=True)
-            lists = codes["from_list"].to_numpy()[at]
-            decoded = ix.decode(lists, _matrix(codes["code"], np.uint8, len(ix.books))[at]).astype(np.float32) if len(other) else np.zeros((0, dim), np.float32)
-            block = max(16, min(512, cells // max(len(ids), len(other), 1)))  # bounds the matrix of similarities
-            for b in range(0, len(ids), block):
-                q = x[b : b + block]
-                sims = q @ x.T
-                sims[np.arange(len(q)), np.arange(b, b + len(q))] = -2
-                best = _best(sims, ids, k)
-                floor = np.full(len(q), -1.0, np.float32)
-                for r, c in enumerate(best):
-                    c = c[sims[r, c] > -2]
-                    out[0] += [int(ids[b + r])] * len(c)
-                    out[1] += ids[c].tolist()
-                    out[2] += sims[r, c].tolist()
-                    if len(c) == k:
-                        floor[r] = sims[r, c[-1]]
-                if len(other):
-                    estimate = q @ decoded.T
-                    r, c = np.nonzero(estimate > (floor - ix.error)[:, None])
-                    keep = _worth_asking(r, estimate[r, c], [sims[i, x] for i, x in enumerate(best)], ix.error, k)
-                    out[3].append(np.stack([ids[b + r[keep]], other[c[keep]], lists[c[keep]]], 1))
-        asked = np.concatenate(out[3]) if out[3] else np.zeros((0, 3), np.int64)
-        n, m, home_list = len(out[0]), len(asked), int(key[0].as_py())
+            q, floor, of = (codes[c].to_numpy() for c in ("q", "floor", "home"))
+            code = _matrix(codes["code"], np.uint8, len(ix.books))
+            block = max(16, min(512, cells // len(ids)))  # bounds the matrix of estimates
+            for b in range(0, len(q), block):
+                at = slice(b, b + block)
+                estimate = ix.decode(of[at], code[at]).astype(np.float32) @ x.T
+                r, c = np.nonzero(estimate > (floor[at] - ix.error)[:, None])
+                keep = _worth_asking(r, estimate[r, c], ix.error, k)
+                r, c = r[keep], c[keep]
+                for o, v in zip(out, (q[at][r], ids[c], estimate[r, c], of[at][r])):
+                    o.append(v)
+        made = [np.concatenate(o) for o in out]
         return pa.table({
-            "q": pa.array(out[0] + asked[:, 0].tolist(), pa.int64()), "n": pa.array(out[1] + asked[:, 1].tolist(), pa.int64()), "similarity": pa.array(out[2] + [None] * m, pa.float32()),
-            "home": pa.array([home_list] * (n + m), pa.int32()), "of_list": pa.array([home_list] * n + asked[:, 2].tolist(), pa.int32()),
+            "q": pa.array(made[0], pa.int64()), "n": pa.array(made[1], pa.int64()), "estimate": pa.array(made[2], pa.float32()),
+            "home": pa.array(made[3], pa.int32()), "of_list": pa.array(np.full(len(made[0]), codes["to_list"][0].as_py() if codes.num_rows else 0), pa.int32()),
         })
 
     return run
 
 
+def _requests(index, k: int):
+    """Per home list: of what the lists probed offer, the vectors that may still be among the k best,
+    given the neighbours known and what the other offers are at least worth."""
+
+    def run(key: tuple, offered: pa.Table, known: pa.Table) -> pa.Table:
+        error, asks = index.value.error, offered["q"].to_numpy()
+        q = np.concatenate([asks, known["q"].to_numpy()])
+        sure = np.concatenate([offered["estimate"].to_numpy() - error, known["similarity"].to_numpy()])
+        order = np.lexsort((-sure, q))
+        ids, first, n = np.unique(q[order], return_index=True, return_counts=True)
+        least = np.where(n >= k, sure[order[np.minimum(first + k, len(q)) - 1]], -np.inf) if len(ids) else np.zeros(0)
+        keep = offered["estimate"].to_numpy() > least[np.searchsorted(ids, asks)] - error
+        return offered.select(["q", "n", "home", "of_list"]).filter(pa.array(keep))
+
+    return run
+
+
 def _fetch(dim: int):
     """Per list: the vectors asked for, once for each list that asks."""
 
@@ -212,7 +257,7 @@ def _exact(dim: int):
 def nearest(df: DataFrame, id_col: str = "id", vector_col: str = "embeddings", k: int = 5, dim: int = 64, list_size: int = 3000, probe: int = 3, train: int = 20_000) -> DataFrame:
     """(q, n, similarity): for each usable vector its ``k`` most similar others by cosine.
 
-    ``train`` bounds the sample of the fit; at most 16,384 lists are made."""
+    ``probe`` is the least number of further lists searched.  ``train`` bounds the sample of the fit; at most 16,384 lists are made."""
     spark = df.sparkSession
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where("id IS NOT NULL AND v IS NOT NULL")
     total = rows.count()
@@ -224,17 +269,19 @@ def nearest(df: DataFrame, id_col: str = "id", vector_col: str = "embeddings", k
     if not len(x):
         return spark.createDataFrame([], "q long, n long, similarity float")
     index = spark.sparkContext.broadcast(Index(x, min(lists, len(x)), probe))
-    placed = rows.mapInArrow(_place(index, dim, k), "list int, id long, vector binary, code binary, key long, follows boolean")
+    placed = rows.mapInArrow(_place(index, dim, k), "list int, id long, vector binary, key long, follows boolean")
     home = placed.where("NOT follows").select("list", "id", "vector")
-    to = spark.createDataFrame([(j, at) for j, at in enumerate(index.value.probed_by)], "list int, homes array<int>")
-    codes = placed.where("NOT follows").select("list", "id", "code").join(F.broadcast(to), "list").select(F.explode("homes").alias("to_list"), F.col("list").alias("from_list"), F.col("id").alias("code_id"), "code")
-    first = staged(home.groupBy("list").cogroup(codes.groupBy("to_list")).applyInArrow(_own_list(index, dim, k), "q long, n long, similarity float, home int, of_list int"))
-    asked = first.where("similarity IS NULL").groupBy("of_list", "home", "n").agg(F.collect_list("q").alias("queries"))
+    first = staged(home.groupBy("list").applyInArrow(_own_list(index, dim, k), "q long, n long, similarity float, home int, code binary, lists array<int>"))
+    codes = first.where("n IS NULL").select("q", F.col("similarity").alias("floor"), "home", "code", F.explode("lists").alias("to_list"))
+    offered = codes.groupBy("to_list").cogroup(home.groupBy("list")).applyInArrow(_probed(index, dim, k), "q long, n long, estimate float, home int, of_list int")
+    known = first.where("n IS NOT NULL").select("home", "q", "similarity")
+    asked = offered.groupBy("home").cogroup(known.groupBy("home")).applyInArrow(_requests(index, k), "q long, n long, home int, of_list int").groupBy("of_list", "home", "n").agg(F.collect_list("q").alias("queries"))
     fetched = asked.groupBy("of_list").cogroup(home.groupBy("list")).applyInArrow(_fetch(dim), "home int, n long, vector binary, queries array<long>")
     exact = fetched.groupBy("home").cogroup(home.groupBy("list")).applyInArrow(_exact(dim), "q long, n long, similarity float")
-    found = first.where("similarity IS NOT NULL").select("q", "n", "similarity").unionByName(exact)
-    best = found.groupBy("q").agg(F.slice(F.array_sort(F.collect_set(F.struct((-F.round("similarity", 6)).alias("far"), "n", "similarity"))), 1, k).alias("best"))
-    direct = best.select("q", F.inline("best")).select("q", "n", "similarity")
+    found = first.where("n IS NOT NULL").select("q", "n", "similarity").unionByName(exact)
+    best = found.groupBy("q").agg(F.collect_set(F.struct("n", "similarity")).alias("all"))
+    ordered = F.array_sort(F.transform("all", lambda x: F.struct((-F.round(x["similarity"], 6)).alias("far"), x["n"].alias("n"), x["similarity"].alias("similarity"))))
+    direct = best.select("q", F.inline(F.slice(ordered, 1, k))).select("q", "n", "similarity")
     # copies beyond k + 1 of a batch: the nearest are the copies with the smallest ids
     followers = placed.where("follows").select("id", "key")
     if followers.isEmpty():

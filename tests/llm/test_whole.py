@@ -1,6 +1,8 @@
 """What the operators once left out, against brute force."""
 
-from siltline.llm import canon
+import numpy as np
+
+from siltline.llm import canon, nearest
 
 from .test_problems import docs, pairs
 
@@ -17,3 +19,14 @@ def test_same_look_gives_every_pair_of_large_groups(spark):
 def test_same_look_of_many_variants(spark):
     rows = [(i, "".join("оo"[i >> b & 1] for b in range(6))) for i in range(64)]
     assert len(pairs(canon.same_look(docs(spark, rows), expand=10))) == 64 * 63 // 2
+
+
+def test_nearest_recall_with_many_lists(spark):
+    x = np.random.default_rng(3).normal(size=(1500, 8)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, embeddings array<float>")
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    sims = x @ x.T
+    np.fill_diagonal(sims, -2)
+    want = {(i, int(n)) for i, best in enumerate(np.argsort(-sims, axis=1)[:, :5]) for n in best}
+    got = pairs(nearest.nearest(df, dim=8, list_size=15, train=1500).select("q", "n"))
+    assert len(got & want) / len(want) >= 0.93
