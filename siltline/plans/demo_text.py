@@ -128,7 +128,7 @@ def token_splitter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("p01_tokenize".replace("p01", "model_p01"))
 def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.size(models.tokenize(tokenizer(), most_chars=2000, most_tokens=128)(F.col("text"))).alias("n"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(models.tokenize(tokenizer())(F.col("text"))).alias("n"))
 
 
 @register("q31_per_extension", "SELECT doc_id, CASE WHEN text IS NOT NULL THEN (len(regexp_extract_all(text, '[a-zA-Z0-9\\n?!,.]'))::double / nullif(length(text), 0) >= 0.5 AND list_max(list_transform(string_split(text, chr(10)), lambda x: length(x))) <= 400 AND (length(text) + 1.0) / len(string_split(text, chr(10))) - 1 <= 100)::int END AS ok FROM documents WHERE text IS NULL OR text <> ''")

@@ -4,10 +4,12 @@ import datetime
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from siltline.functions import extract as X
+from siltline.functions import models
 from siltline.functions.metrics import word_distance
-from siltline.plans import demo
+from siltline.plans import demo, demo_text
 
 
 def test_interval_overlaps_of_every_user(spark, tmp_path):
@@ -37,3 +39,15 @@ def test_notebook_with_large_metadata_and_no_address(spark):
     rows = [(1, json.dumps(book).encode()), (2, json.dumps(other).encode()), (3, b'{"cells" and "nbformat" in broken JSON')]
     got = {r["i"]: (r["kind"], r["text"]) for r in X.extract_content(spark.createDataFrame(rows, "i int, content binary"), "content").collect()}
     assert got == {1: ("notebook", "a\nb\n\nc"), 2: ("text", rows[1][1].decode()), 3: ("text", rows[2][1].decode())}
+
+
+def test_tokenizer_cuts_only_on_request(spark, tmp_path):
+    texts = ["word " * 3000, "a few words", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    ids = demo_text.tokenizer()()
+    whole = {i: ids([t])[0] for i, t in enumerate(texts) if t}
+    got = {r["doc_id"]: r["n"] for r in demo.queries()["model_p01_tokenize"](spark, str(tmp_path)).collect()}
+    assert {i: got[i] for i in whole} == {i: len(v) for i, v in whole.items()} and got[0] >= 3000
+    cut = df.select(models.tokenize(demo_text.tokenizer(), most_chars=2000)(F.col("text")).alias("c"), models.tokenize(demo_text.tokenizer(), most_tokens=128)(F.col("text")).alias("t")).where("doc_id = 0").first()
+    assert cut["c"] == ids([texts[0][:2000]])[0] and cut["t"] == whole[0][:128]
