@@ -11,7 +11,8 @@ sides; chance agreements of single words do not add up to a hit.
 The items are taken in blocks of bounded size; each block goes to the workers as one sorted array,
 and the corpus is read once per block and never shuffled.  Fingerprints of the corpus stay in the
 task that made them.  A fingerprint that more than ``stock`` items share (stock instructions) starts no
-extension unless an item has hardly any other.
+extension unless an item has hardly any other.  Items of fewer than ``k + window - 1`` words, for which
+winnowing gives no guarantee, are searched by their exact word sequence too.
 
 Null or empty texts and items give no row, a repeated row counts once, a tie of fingerprints in a
 window keeps the last one, an empty table gives an empty result."""
@@ -106,16 +107,19 @@ def held(item: np.ndarray, doc: np.ndarray, run: int = 3, gap: int = 3, stretch:
 
 def _items(rows: list, k: int, window: int, stock: int) -> dict:
     """A block of items as arrays: the sorted fingerprints with their items, and the items' words."""
-    known, ids, texts, fps = WordHashes(), [], [], []
+    known, ids, texts, fps, exact = WordHashes(), [], [], [], {}
     for r in rows:
         h = known.of(words(r[1]))
-        if len(h) >= k:
+        if len(h):
+            if len(h) < k + window - 1:
+                exact.setdefault(len(h), []).append((int(grams(h, len(h))[0]), len(ids)))
             ids.append(r[0])
             texts.append(h)
             g = grams(h, k)
             fps.append(np.unique(g[winnow(g, window)]))
+    short = {n: (np.array([x[0] for x in sorted(found)], np.uint64), np.array([x[1] for x in sorted(found)])) for n, found in exact.items()}
     if not ids:
-        return {"ids": [], "texts": [], "fp": np.zeros(0, np.uint64), "of": np.zeros(0, np.int64), "size": np.zeros(0, np.int64)}
+        return {"ids": [], "texts": [], "fp": np.zeros(0, np.uint64), "of": np.zeros(0, np.int64), "size": np.zeros(0, np.int64), "kept": np.zeros(0, np.int64), "short": {}}
     fp, of = np.concatenate(fps), np.repeat(np.arange(len(ids)), [len(f) for f in fps])
     value, inverse, count = np.unique(fp, return_inverse=True, return_counts=True)
     common = count[inverse] > stock
@@ -123,16 +127,31 @@ def _items(rows: list, k: int, window: int, stock: int) -> dict:
     keep = ~common | (own * 2 < np.array([len(f) for f in fps]))[of]
     fp, of = fp[keep], of[keep]
     order = np.argsort(fp, kind="stable")
-    return {"ids": ids, "texts": texts, "fp": fp[order], "of": of[order], "size": np.array([len(f) for f in fps])}
+    return {"ids": ids, "texts": texts, "fp": fp[order], "of": of[order], "size": np.array([len(f) for f in fps]), "kept": np.bincount(of, minlength=len(ids)), "short": short}
 
 
 def candidates(b: dict, g: np.ndarray, least: float = 0.08) -> list[int]:
-    """Items that share enough fingerprints for an extension to be worth it: two at least, and a
-    twelfth of the item's own; half an item with every eighth word changed shares a third."""
+    """Items that share enough fingerprints for an extension to be worth it: two at least, or
+    the only one of a short item, and a twelfth of the item's own; half an item with every eighth word changed shares a third."""
     lo, hi = np.searchsorted(b["fp"], g, "left"), np.searchsorted(b["fp"], g, "right")
     hits = np.concatenate([b["of"][a:z] for a, z in zip(lo, hi)])
     item, n = np.unique(hits, return_counts=True)
-    return item[n >= np.maximum(2, least * b["size"][item])].tolist()
+    return item[n >= np.maximum(np.minimum(2, b["kept"][item]), least * b["size"][item])].tolist()
+
+
+def whole(b: dict, flat: np.ndarray, ends: np.ndarray) -> dict[tuple[int, int], int]:
+    """(document, item) of the short items whose exact word sequence occurs, with its length."""
+    out = {}
+    for length, (value, of) in b["short"].items():
+        g = grams(flat, length)
+        lo, hi = np.searchsorted(value, g, "left"), np.searchsorted(value, g, "right")
+        at = np.nonzero(hi > lo)[0]
+        of_doc = np.searchsorted(ends, at, "right")
+        inside = at + length <= ends[of_doc]
+        for p, d in zip(at[inside].tolist(), of_doc[inside].tolist()):
+            for i in of[lo[p] : hi[p]].tolist():
+                out[d, i] = length
+    return out
 
 
 def _search(block, k: int, window: int, share: float, run: int, stretch: float):
@@ -144,6 +163,12 @@ def _search(block, k: int, window: int, share: float, run: int, stretch: float):
             keys, lists = batch.column(0).to_pylist(), [words(t) for t in batch.column(1).to_pylist()]
             flat = known.of(list(chain.from_iterable(lists)))
             ends = np.cumsum([len(x) for x in lists])
+            short = whole(b, flat, ends)
+            for (d, i), n in short.items():
+                docs.append(keys[d])
+                items.append(b["ids"][i])
+                counts.append(n)
+                of_item.append(1.0)
             g = grams(flat, k)
             if len(g) and len(fp):
                 # k-grams across two texts never win a window
@@ -157,6 +182,8 @@ def _search(block, k: int, window: int, share: float, run: int, stretch: float):
                 for d in np.unique(of_doc).tolist():
                     h = flat[ends[d] - len(lists[d]) : ends[d]]
                     for i in candidates(b, np.unique(g[at[of_doc == d]])):
+                        if (d, i) in short:
+                            continue
                         n = held(b["texts"][i], h, run, stretch=stretch)
                         if n >= share * len(b["texts"][i]):
                             docs.append(keys[d])

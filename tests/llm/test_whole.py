@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from siltline.llm import canon, nearest
+from siltline.llm import canon, leaks, nearest
 
 from .test_problems import docs, pairs
 
@@ -30,3 +30,13 @@ def test_nearest_recall_with_many_lists(spark):
     want = {(i, int(n)) for i, best in enumerate(np.argsort(-sims, axis=1)[:, :5]) for n in best}
     got = pairs(nearest.nearest(df, dim=8, list_size=15, train=1500).select("q", "n"))
     assert len(got & want) / len(want) >= 0.93
+
+
+def test_short_items_are_found_verbatim(spark):
+    texts = [[f"own{i}x{j}" for j in range(i % 9 + 1)] for i in range(90)]
+    items = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "item_id long, text string")
+    rows = [(i, " ".join([f"a{i}b{j}" for j in range(40)] + w + [f"c{i}d{j}" for j in range(40)])) for i, w in enumerate(texts)]
+    # words that stand in two texts, or not in a row, are no copy
+    rows += [(500, texts[3][0] + " " + texts[3][1] + " x"), (501, " ".join(texts[3][2:])), (502, f"{texts[2][0]} {texts[2][1]} x {texts[2][2]}")]
+    found = [tuple(r) for r in leaks.leaked(docs(spark, rows), items).select("doc_id", "item_id").collect()]
+    assert sorted(found) == [(i, i) for i in range(90)]
