@@ -7,9 +7,9 @@ its component.  Components begin at the inspected examples below and are named b
 end up with: prose, list, table or junk.  A document is not natural prose if more than half of its
 characters other than blanks stand in blocks that are not.
 
-The vocabulary and the word-order statistic come from the same sample: words that occur in at least
-two of its documents, and how much more often two of the common ones follow each other than they
-would in any order.
+The vocabulary and the word-order statistic are counted over all documents: the most frequent words
+that occur in at least two and a share of ``KNOWN_SHARE`` of them, and how much more often two of the common ones follow each other
+than they would in any order.  Each task adds up its own counts; only the bounded lists are collected.
 
 Null and blank texts get no verdict and no row.  Statistics that are undefined (no words, say) are
 0.  Texts of any length are measured whole, repeated rows give one row each, an empty table none.
@@ -52,34 +52,85 @@ EXAMPLES = (
 )
 _PARAGRAPH = re.compile(r"\n[ ]*\n\s*")
 _TOKEN = re.compile(r"[^\W_]+|\n(?:[ ]*(?:[-*•‣·+]|\d+[.)])[ ])?|[.!?…;]+(?=[\s\"'”»)]|$)")
-COMMON, KNOWN_IN = 1000, 2
+COMMON, KNOWN_IN, KNOWN = 1000, 2, 50_000
+# Fixed value: the share of the documents that hold a known word; words of copied junk are rarer.
+KNOWN_SHARE = 0.004
 WORDS_OF_INTEREST = 200
 
 
 class Vocabulary:
     """Known words, and order statistics of the common ones."""
 
-    def __init__(self, texts: list[str]):
-        seen, count = Counter(), Counter()
-        lists = [[w.lower() for w in re.findall(r"[^\W_]+", canonical(t))] for t in texts]
-        for ws in lists:
-            count.update(ws)
-            seen.update(set(ws))
-        known = [w for w, n in sorted(count.items(), key=lambda x: (-x[1], x[0])) if seen[w] >= KNOWN_IN and not any(c.isdigit() for c in w)][:50_000]
+    def __init__(self, known: list[str], counts: list[tuple[int, int, int]]):
+        """``known``: the most frequent first.  ``counts``: (word, next word, n) of common words, with -1
+        as the next word how often the word occurs, with -1 twice the number of all words."""
         self.ids = {w: i for i, w in enumerate(known)}
         k = min(COMMON, len(known)) + 1
-        pairs, single, total = np.zeros((k, k), np.float32), np.zeros(k), 1
-        for ws in lists:
-            a = np.array([min(self.ids.get(w, k), k - 1) for w in ws], np.int64)
-            if len(a) > 1:
-                np.add.at(pairs, (a[:-1], a[1:]), 1)
-                single += np.bincount(a, minlength=k)
-                total += len(a)
+        pairs, single, total = np.zeros((k, k), np.float64), np.zeros(k), 1
+        a, b, n = np.array(counts, np.int64).reshape(-1, 3).T
+        pairs[a[b >= 0], b[b >= 0]] = n[b >= 0]
+        single[a[(a >= 0) & (b < 0)]] = n[(a >= 0) & (b < 0)]
+        total += int(n[a < 0].sum())
         expected = single[:, None] * single[None, :] / total
         self.order = np.log((pairs + 1) / (expected + 1)).astype(np.float32)
         self.order[k - 1, :] = self.order[:, k - 1] = np.nan
 
 
+def _words(text: str) -> list[str]:
+    return [w.lower() for w in re.findall(r"[^\W_]+", canonical(text))]
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, n, seen): how often each word without a digit occurs, and in how many texts."""
+    seen, count = Counter(), Counter()
+
+    def made() -> pa.RecordBatch:
+        part = [w for w in count if not any(c.isdigit() for c in w)]
+        return pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([count[w] for w in part], pa.int64()), pa.array([seen[w] for w in part], pa.int64())], ["word", "n", "seen"])
+
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            ws = _words(text)
+            count.update(ws)
+            seen.update(set(ws))
+            if len(count) > 300_000:
+                yield made()
+                seen.clear(), count.clear()
+    yield made()
+
+
+def _count_pairs(common):
+    """(a, b, n) as ``Vocabulary`` takes them, of a partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, k = common.value, len(common.value) + 1
+        pairs, single, total = np.zeros(k * k, np.int64), np.zeros(k, np.int64), 0
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                a = np.array([ids.get(w, k - 1) for w in _words(text)], np.int64)
+                if len(a) > 1:
+                    at, n = np.unique(a[:-1] * k + a[1:], return_counts=True)
+                    pairs[at] += n
+                    single += np.bincount(a, minlength=k)
+                    total += len(a)
+        at = np.nonzero(pairs)[0]
+        at = at[(at // k < k - 1) & (at % k < k - 1)]
+        a, b = np.r_[at // k, np.arange(k - 1), -1], np.r_[at % k, np.full(k, -1)]
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(np.r_[pairs[at], single[: k - 1], total], pa.int64())], ["a", "b", "n"])
+
+    return run
+
+
+def vocabulary_of(texts: DataFrame) -> Vocabulary:
+    """The vocabulary of all texts, a table of one column without nulls."""
+    counted = texts.mapInArrow(_count_words, "word string, n long, seen long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
+    least = max(KNOWN_IN, KNOWN_SHARE * texts.count())
+    known = [r["word"] for r in counted.where(F.col("seen") >= least).orderBy(F.desc("n"), "word").limit(KNOWN).select("word").collect()]
+    common = texts.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(known[:COMMON])})
+    counts = texts.mapInArrow(_count_pairs(common), "a int, b int, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
+    return Vocabulary(known, list(zip(*(counts[c].to_pylist() for c in ("a", "b", "n")))))
+
+
 class TokenIds(dict):
     """Token to a number: known word, -1 unknown word, -2 word with a digit, -3 line end, -4 line end
     before a list mark, -5 end of a sentence; doubled, plus 1 if the token begins in lower case."""
@@ -235,11 +286,11 @@ class Mixture:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id_col: str, label_col: str, train_docs: int = 2000) -> tuple[Vocabulary, Mixture]:
-    """Fit on at most ``train_docs`` labelled documents."""
+    """The vocabulary of all documents, and the mixture fitted on at most ``train_docs`` labelled ones."""
     chosen = labels.where(F.col(label_col).isin("prose", "other")).select(F.col(label_id_col).alias("i")).distinct().orderBy(F.xxhash64("i")).limit(train_docs)
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where("t IS NOT NULL").join(F.broadcast(chosen), "i").dropDuplicates(["i"])
     texts = [r["t"] for r in rows.orderBy(F.xxhash64("i")).collect()]
-    vocabulary = Vocabulary(texts)
+    vocabulary = vocabulary_of(docs.select(F.col(text_col).alias("t")).where("t IS NOT NULL"))
     x = measure(texts, vocabulary, TokenIds(vocabulary))[0]
     return vocabulary, Mixture(x)
 

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from siltline.llm import canon, leaks, nearest
+from siltline.llm import canon, leaks, nearest, quality
 
 from .test_problems import docs, pairs
 
@@ -40,3 +40,15 @@ def test_short_items_are_found_verbatim(spark):
     rows += [(500, texts[3][0] + " " + texts[3][1] + " x"), (501, " ".join(texts[3][2:])), (502, f"{texts[2][0]} {texts[2][1]} x {texts[2][2]}")]
     found = [tuple(r) for r in leaks.leaked(docs(spark, rows), items).select("doc_id", "item_id").collect()]
     assert sorted(found) == [(i, i) for i in range(90)]
+
+
+def test_words_and_pairs_are_counted_over_all_documents(spark):
+    texts = [f"the red boat and the blue boat and tail{i} 7" for i in range(40)] + ["the only", None]
+    table = docs(spark, list(enumerate(texts))).repartition(3)
+    v = quality.vocabulary_of(table.select("text").where("text IS NOT NULL"))
+    assert list(v.ids) == ["the", "and", "boat", "blue", "red"]
+    total = 40 * 10 + 2 + 1
+    assert np.isclose(v.order[0, 1], np.log(1 / (81 * 80 / total + 1))) and np.isclose(v.order[2, 1], np.log(81 / (80 * 80 / total + 1)))
+    unlabelled = spark.createDataFrame([], "doc_id long, quality string")
+    got = {r["id"]: r["common_word_share"] for r in quality.quality(table, unlabelled).collect()}
+    assert np.isclose(got[0], 0.8) and np.isclose(got[40], 0.5)
