@@ -8,7 +8,7 @@ document holds an item if the chained words are at least ``share`` of the item's
 outside a run of ``run`` shared words count only where they are all that lies between two runs on both
 sides; chance agreements of single words do not add up to a hit.
 
-The items are taken in blocks of bounded size; each block goes to the workers as one sorted array,
+The items are taken in blocks of bounded size (rows and characters); each block goes to the workers as one sorted array,
 and the corpus is read once per block and never shuffled.  Fingerprints of the corpus stay in the
 task that made them.  A fingerprint that more than ``stock`` items share (stock instructions) starts no
 extension unless an item has hardly any other.  Items of fewer than ``k + window - 1`` words, for which
@@ -119,7 +119,7 @@ def _items(rows: list, k: int, window: int, stock: int) -> dict:
             fps.append(np.unique(g[winnow(g, window)]))
     short = {n: (np.array([x[0] for x in sorted(found)], np.uint64), np.array([x[1] for x in sorted(found)])) for n, found in exact.items()}
     if not ids:
-        return {"ids": [], "texts": [], "fp": np.zeros(0, np.uint64), "of": np.zeros(0, np.int64), "size": np.zeros(0, np.int64), "kept": np.zeros(0, np.int64), "short": {}}
+        return {"ids": [], "texts": [], "fp": np.zeros(0, np.uint64), "of": np.zeros(0, np.int64), "size": np.zeros(0, np.int64), "short": {}}
     fp, of = np.concatenate(fps), np.repeat(np.arange(len(ids)), [len(f) for f in fps])
     value, inverse, count = np.unique(fp, return_inverse=True, return_counts=True)
     common = count[inverse] > stock
@@ -127,16 +127,16 @@ def _items(rows: list, k: int, window: int, stock: int) -> dict:
     keep = ~common | (own * 2 < np.array([len(f) for f in fps]))[of]
     fp, of = fp[keep], of[keep]
     order = np.argsort(fp, kind="stable")
-    return {"ids": ids, "texts": texts, "fp": fp[order], "of": of[order], "size": np.array([len(f) for f in fps]), "kept": np.bincount(of, minlength=len(ids)), "short": short}
+    return {"ids": ids, "texts": texts, "fp": fp[order], "of": of[order], "size": np.array([len(f) for f in fps]), "short": short}
 
 
 def candidates(b: dict, g: np.ndarray, least: float = 0.08) -> list[int]:
-    """Items that share enough fingerprints for an extension to be worth it: two at least, or
-    the only one of a short item, and a twelfth of the item's own; half an item with every eighth word changed shares a third."""
+    """Items that share a fingerprint and at least a twelfth of their own.  Half an item with every seventh
+    word changed still has a fingerprint in each span of six words, a seventh of the item's own."""
     lo, hi = np.searchsorted(b["fp"], g, "left"), np.searchsorted(b["fp"], g, "right")
     hits = np.concatenate([b["of"][a:z] for a, z in zip(lo, hi)])
     item, n = np.unique(hits, return_counts=True)
-    return item[n >= np.maximum(np.minimum(2, b["kept"][item]), least * b["size"][item])].tolist()
+    return item[n >= least * b["size"][item]].tolist()
 
 
 def whole(b: dict, flat: np.ndarray, ends: np.ndarray) -> dict[tuple[int, int], int]:
@@ -197,13 +197,13 @@ def _search(block, k: int, window: int, share: float, run: int, stretch: float):
 
 def leaked(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
-    k: int = 4, window: int = 3, share: float = 0.5, run: int = 3, stretch: float = 2.0, stock: int = 5, block: int = 20_000,
+    k: int = 4, window: int = 3, share: float = 0.5, run: int = 3, stretch: float = 2.0, stock: int = 5, block: int = 20_000, block_chars: int = 20_000_000,
 ) -> DataFrame:
     """(doc_id, item_id, n_words, share): documents that hold an item, whole or in part."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).where("id IS NOT NULL AND t IS NOT NULL")
     schema = f"doc_id {rows.schema['id'].dataType.simpleString()}, item_id long, n_words long, share double"
     wanted = items.select(F.col(item_id_col).cast("long").alias("i"), F.col(item_text_col).alias("t")).where("i IS NOT NULL AND t IS NOT NULL").dropDuplicates()
-    spark, out, part = docs.sparkSession, None, []
+    spark, out, part, chars = docs.sparkSession, None, [], 0
 
     def search(part: list) -> DataFrame:
         shared = spark.sparkContext.broadcast(_items(part, k, window, stock))
@@ -211,8 +211,9 @@ def leaked(
 
     for r in wanted.orderBy("i").toLocalIterator():
         part.append(r)
-        if len(part) == block:
-            out, part = (search(part) if out is None else out.unionByName(search(part))), []
+        chars += len(r[1])
+        if len(part) == block or chars >= block_chars:
+            out, part, chars = (search(part) if out is None else out.unionByName(search(part))), [], 0
     if part or out is None:
         out = search(part) if out is None else out.unionByName(search(part))
     return out.dropDuplicates(["doc_id", "item_id"])
