@@ -60,7 +60,7 @@ def p6_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p6_turns(spark, sf_dir).drop("text")
+    return turns.turns(_table(spark, sf_dir, "manifest_a"), with_text=False).withColumnRenamed("id", "audio_filepath").drop("text")
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
