@@ -3,23 +3,29 @@
 The document is taken apart at blank lines.  Each block gets the statistics in ``FEATURES``; they are
 standardised, and a mixture of Gaussians, fitted by expectation-maximisation on the blocks of a
 bounded sample of labelled documents (``train_docs``, chosen by a hash of the id), gives each block
-its component.  Components begin at the inspected examples below and are named by the examples they
-end up with: prose, list, table or junk.  A document is not natural prose if more than half of its
+its component.  Components begin at the inspected examples below, which weigh as ``STRENGTH`` blocks each
+throughout, so that none wanders off and any number of blocks will do.  A component is named by the example
+it began at, prose, list, table or junk; where the labels of documents that consist mostly of one of its
+blocks clearly say otherwise, they decide whether it is prose.  A document is not natural prose if more than half of its
 characters other than blanks stand in blocks that are not.
 
-The vocabulary and the word-order statistic are counted over all documents: the most frequent words
-that occur in at least two and a share of ``KNOWN_SHARE`` of them, and how much more often two of the common ones follow each other
-than they would in any order.  Each task adds up its own counts; only the bounded lists are collected.
+The vocabulary and the word-order statistic are counted over all documents: the words that occur in at
+least two and a share of ``KNOWN_SHARE`` of them (so their number is bounded by the words of a document over
+that share), and how much more often two of the ``COMMON`` commonest follow each other than they would in any
+order.  Each task adds up its own counts; only these lists are collected.  Letters of scripts written without
+blanks count as a word each.  A block whose letters are in scripts that hardly any known word has says nothing
+by its words being unknown; it gets the share of known words of the prose examples.
 
 Null and blank texts get no verdict and no row.  Statistics that are undefined (no words, say) are
 0.  Texts of any length are measured whole, repeated rows give one row each, an empty table none.
-Without labelled rows the mixture stays at the inspected examples."""
+Without labelled rows the mixture is that of the inspected examples."""
 
 from __future__ import annotations
 
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,9 +56,12 @@ EXAMPLES = (
     ("junk", (0.90, 2.4, 0.60, 2.5, 0.1, 0.20, 0.0, 4.8)),
     ("junk", (0.88, 2.6, 0.03, 1.0, 1.0, 0.15, 0.0, 4.0)),
 )
+PROSE_KNOWN = 0.9
 _PARAGRAPH = re.compile(r"\n[ ]*\n\s*")
-_TOKEN = re.compile(r"[^\W_]+|\n(?:[ ]*(?:[-*•‣·+]|\d+[.)])[ ])?|[.!?…;]+(?=[\s\"'”»)]|$)")
-COMMON, KNOWN_IN, KNOWN = 1000, 2, 50_000
+_DENSE = "\u0e00-\u0e7f\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff"  # scripts written without blanks
+_WORD = re.compile(rf"[{_DENSE}]|[^\W_{_DENSE}]+")
+_TOKEN = re.compile(rf"[{_DENSE}]|[^\W_{_DENSE}]+|\n(?:[ ]*(?:[-*•‣·+]|\d+[.)])[ ])?|[。]+|(?<=[{_DENSE}])[!?]+|[.!?…;]+(?=[\s\"'”»)]|$)")
+COMMON, KNOWN_IN, STRENGTH = 1000, 2, 20.0
 # Fixed value: the share of the documents that hold a known word; words of copied junk are rarer.
 KNOWN_SHARE = 0.004
 WORDS_OF_INTEREST = 200
@@ -65,6 +74,9 @@ class Vocabulary:
         """``known``: the most frequent first.  ``counts``: (word, next word, n) of common words, with -1
         as the next word how often the word occurs, with -1 twice the number of all words."""
         self.ids = {w: i for i, w in enumerate(known)}
+        # the blocks of 128 code points whose letters known words are written in
+        pages = Counter(ord(w[0]) >> 7 for w in known)
+        self.scripts = {p for p, n in pages.items() if n >= 5}
         k = min(COMMON, len(known)) + 1
         pairs, single, total = np.zeros((k, k), np.float64), np.zeros(k), 1
         a, b, n = np.array(counts, np.int64).reshape(-1, 3).T
@@ -77,7 +89,7 @@ class Vocabulary:
 
 
 def _words(text: str) -> list[str]:
-    return [w.lower() for w in re.findall(r"[^\W_]+", canonical(text))]
+    return _WORD.findall(canonical(text).lower())
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,13 +118,15 @@ def _count_pairs(common):
         ids, k = common.value, len(common.value) + 1
         pairs, single, total = np.zeros(k * k, np.int64), np.zeros(k, np.int64), 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                a = np.array([ids.get(w, k - 1) for w in _words(text)], np.int64)
-                if len(a) > 1:
-                    at, n = np.unique(a[:-1] * k + a[1:], return_counts=True)
-                    pairs[at] += n
-                    single += np.bincount(a, minlength=k)
-                    total += len(a)
+            lists = [_words(text) for text in batch.column(0).to_pylist()]
+            a = np.fromiter(map(lambda w: ids.get(w, k - 1), chain.from_iterable(lists)), np.int64)
+            if len(a) > 1:
+                both = np.ones(len(a) - 1, bool)
+                cuts = np.cumsum([len(x) for x in lists[:-1]], dtype=np.int64)
+                both[cuts[(cuts > 0) & (cuts < len(a))] - 1] = False  # the next word is in another text
+                pairs += np.bincount((a[:-1] * k + a[1:])[both], minlength=k * k)
+                single += np.bincount(a, minlength=k)
+                total += len(a)
         at = np.nonzero(pairs)[0]
         at = at[(at // k < k - 1) & (at % k < k - 1)]
         a, b = np.r_[at // k, np.arange(k - 1), -1], np.r_[at % k, np.full(k, -1)]
@@ -125,7 +139,7 @@ def vocabulary_of(texts: DataFrame) -> Vocabulary:
     """The vocabulary of all texts, a table of one column without nulls."""
     counted = texts.mapInArrow(_count_words, "word string, n long, seen long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
     least = max(KNOWN_IN, KNOWN_SHARE * texts.count())
-    known = [r["word"] for r in counted.where(F.col("seen") >= least).orderBy(F.desc("n"), "word").limit(KNOWN).select("word").collect()]
+    known = [r["word"] for r in counted.where(F.col("seen") >= least).orderBy(F.desc("n"), "word").select("word").collect()]
     common = texts.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(known[:COMMON])})
     counts = texts.mapInArrow(_count_pairs(common), "a int, b int, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
     return Vocabulary(known, list(zip(*(counts[c].to_pylist() for c in ("a", "b", "n")))))
@@ -133,11 +147,12 @@ def vocabulary_of(texts: DataFrame) -> Vocabulary:
 
 class TokenIds(dict):
     """Token to a number: known word, -1 unknown word, -2 word with a digit, -3 line end, -4 line end
-    before a list mark, -5 end of a sentence; doubled, plus 1 if the token begins in lower case."""
+    before a list mark, -5 end of a sentence, -6 unknown word of a script no known word has; doubled, plus
+    1 if the token begins in lower case."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.known = vocabulary.ids
+        self.known, self.scripts = vocabulary.ids, vocabulary.scripts
 
     def __missing__(self, token: str) -> int:
         if len(self) > 500_000:
@@ -148,7 +163,7 @@ class TokenIds(dict):
         elif not c.isalnum():
             i = -5
         else:
-            i = self.known.get(token.lower(), -2 if any(x.isdigit() for x in token) else -1)
+            i = self.known.get(token.lower(), -2 if any(x.isdigit() for x in token) else -1 if ord(c) >> 7 in self.scripts or not self.scripts else -6)
         self[token] = i = 2 * i + c.islower()
         return i
 
@@ -176,6 +191,8 @@ def measure(texts: list[str | None], vocabulary: Vocabulary, ids: TokenIds) -> t
     kind = np.fromiter(map(ids.__getitem__, tokens), np.int64, n) if n else np.zeros(0, np.int64)
     length = np.fromiter(map(len, tokens), np.int64, n)
     lower, kind = (kind & 1).astype(bool), kind >> 1
+    foreign = kind == -6
+    kind[foreign] = -1
     block = np.repeat(np.arange(blocks), size)
     per = lambda mask, w=None: np.bincount(block[mask], None if w is None else w[mask], blocks)
     word = (kind >= 0) | (kind == -1) | (kind == -2)
@@ -216,6 +233,8 @@ def measure(texts: list[str | None], vocabulary: Vocabulary, ids: TokenIds) -> t
     order = np.where(pairs >= 3, (np.bincount(block[:-1][good], pair[good], blocks) if n > 1 else 0) / np.maximum(pairs, 1), 1.0)
     at = np.nonzero(word)[0]
     code = kind[at] * 1009 + length[at]
+    for i in np.nonzero(foreign[at])[0].tolist():
+        code[i] += 1_000_003 * ord(tokens[at[i]][0]) + ord(tokens[at[i]][-1])
     three = (code[:-2] * 31 + code[1:-1]) * 1_000_003 + code[2:] if len(at) > 2 else np.zeros(0, np.int64)
     wb = block[at]
     same = wb[:-2] == wb[2:] if len(at) > 2 else np.zeros(0, bool)
@@ -231,7 +250,8 @@ def measure(texts: list[str | None], vocabulary: Vocabulary, ids: TokenIds) -> t
     in_words = per(word, length)
     digits = per(kind == -2)
     letters = per((kind >= 0) | (kind == -1), length)
-    features = np.stack([letters / np.maximum(char, 1), mean_log, per(kind >= 0) / w1, order, distinct, digits / w1, np.bincount(unit_block[real & unit_ended], minlength=blocks) / units, np.log1p(words)], 1)
+    known = np.where(per(foreign) > 0.5 * w1, PROSE_KNOWN, per(kind >= 0) / w1)
+    features = np.stack([letters / np.maximum(char, 1), mean_log, known, order, distinct, digits / w1, np.bincount(unit_block[real & unit_ended], minlength=blocks) / units, np.log1p(words)], 1)
     lines_all = np.bincount(line_block, line_len > 0, blocks) if n else np.zeros(blocks)
     last = np.r_[line[1:] != line[:-1], True] if n else np.zeros(0, bool)
     ended_line = np.bincount(block[last & ended], minlength=blocks) + np.bincount(block[np.maximum(np.nonzero(line_end)[0] - 1, 0)][kind[np.maximum(np.nonzero(line_end)[0] - 1, 0)] == -5], minlength=blocks)
@@ -241,31 +261,38 @@ def measure(texts: list[str | None], vocabulary: Vocabulary, ids: TokenIds) -> t
 
 
 class Mixture:
-    """A Gaussian mixture with full, regularised covariances."""
+    """A Gaussian mixture with full, regularised covariances.  ``other`` says of a block that makes up most of
+    its document whether that is labelled as not prose; NaN says nothing."""
 
-    def __init__(self, x: np.ndarray, rounds: int = 40):
+    def __init__(self, x: np.ndarray, other: np.ndarray | None = None, rounds: int = 40):
         examples = np.array([e[1] for e in EXAMPLES])
-        data = x if len(x) >= 10 * len(EXAMPLES) else np.concatenate([x, examples])
+        data = np.concatenate([x, examples])
         self.mean, self.std = data.mean(0), np.maximum(data.std(0), 1e-3)
-        z, mu = (data - self.mean) / self.std, (examples - self.mean) / self.std
-        k, d = mu.shape
-        cov, weight = np.stack([np.eye(d) * 0.3] * k), np.full(k, 1 / k)
-        for _ in range(rounds if data is x else 0):
+        z, anchor = (x - self.mean) / self.std, (examples - self.mean) / self.std
+        k, d = anchor.shape
+        mu, cov, weight = anchor.copy(), np.stack([np.eye(d) * 0.3] * k), np.full(k, 1 / k)
+        for _ in range(rounds):
             self.mu, self.chol, self.log_weight = mu, np.linalg.cholesky(cov), np.log(weight)
             r = self.responsibility(z)
             n = r.sum(0) + 1e-9
-            strength = 20.0  # the examples weigh as so many blocks each, so no component wanders off
-            anchor = (examples - self.mean) / self.std
-            mu = (r.T @ z + strength * anchor) / (n + strength)[:, None]
+            mu = (r.T @ z + STRENGTH * anchor) / (n + STRENGTH)[:, None]
             for j in range(k):
                 c = z - mu[j]
-                cov[j] = ((r[:, j, None] * c).T @ c + strength * 0.3 * np.eye(d)) / (n[j] + strength) + 0.02 * np.eye(d)
-            weight = (n + strength) / (n + strength).sum()
+                cov[j] = ((r[:, j, None] * c).T @ c + STRENGTH * 0.3 * np.eye(d)) / (n[j] + STRENGTH) + 0.02 * np.eye(d)
+            weight = (n + STRENGTH) / (n + STRENGTH).sum()
         self.mu, self.chol, self.log_weight = mu, np.linalg.cholesky(cov), np.log(weight)
-        own = self.responsibility((examples - self.mean) / self.std)
-        names = [e[0] for e in EXAMPLES]
-        score = {c: own[[n == c for n in names]].sum(0) for c in ("prose", "list", "table", "junk")}
+        own = self.responsibility(anchor)
+        first = [e[0] for e in EXAMPLES]
+        score = {c: own[[n == c for n in first]].sum(0) for c in ("prose", "list", "table", "junk")}
         self.names = [max(score, key=lambda c: score[c][j]) for j in range(k)]
+        if other is not None and len(x):
+            r = self.responsibility(z)[~np.isnan(other)]
+            seen, share = r.sum(0), (r * other[~np.isnan(other), None]).sum(0) / np.maximum(r.sum(0), 1e-9)
+            for j in np.nonzero(seen >= STRENGTH)[0]:
+                if share[j] > 0.7 and self.names[j] == "prose":
+                    self.names[j] = max(("list", "table", "junk"), key=lambda c: score[c][j])
+                elif share[j] < 0.3:
+                    self.names[j] = "prose"
 
     def responsibility(self, z: np.ndarray) -> np.ndarray:
         logs = np.empty((len(z), len(self.mu)))
@@ -285,14 +312,30 @@ class Mixture:
         return np.array(kinds)[by.argmax(1)]
 
 
+def _measured(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = shared.value
+        ids = TokenIds(vocabulary)
+        for batch in batches:
+            x, own, char, per_text = measure(batch.column(1).to_pylist(), vocabulary, ids)
+            # a label speaks for the block that makes up most of its document
+            other = np.where(2 * char > per_text[own, 6], batch.column(0).to_numpy(zero_copy_only=False)[own], np.nan)
+            yield pa.RecordBatch.from_arrays([pa.array(other), *(pa.array(c) for c in x.T)], ["other", *FEATURES])
+
+    return run
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id_col: str, label_col: str, train_docs: int = 2000) -> tuple[Vocabulary, Mixture]:
-    """The vocabulary of all documents, and the mixture fitted on at most ``train_docs`` labelled ones."""
-    chosen = labels.where(F.col(label_col).isin("prose", "other")).select(F.col(label_id_col).alias("i")).distinct().orderBy(F.xxhash64("i")).limit(train_docs)
-    rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where("t IS NOT NULL").join(F.broadcast(chosen), "i").dropDuplicates(["i"])
-    texts = [r["t"] for r in rows.orderBy(F.xxhash64("i")).collect()]
+    """The vocabulary of all documents, and the mixture fitted on the blocks of at most ``train_docs`` labelled ones."""
+    known = labels.where(F.col(label_col).isin("prose", "other")).groupBy(F.col(label_id_col).alias("i")).agg(F.avg((F.col(label_col) == "other").cast("double")).alias("other"))
+    chosen = known.orderBy(F.xxhash64("i"), "i").limit(train_docs)
+    rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where("t IS NOT NULL").join(F.broadcast(chosen), "i").dropDuplicates(["i"]).select("other", "t")
     vocabulary = vocabulary_of(docs.select(F.col(text_col).alias("t")).where("t IS NOT NULL"))
-    x = measure(texts, vocabulary, TokenIds(vocabulary))[0]
-    return vocabulary, Mixture(x)
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    found = rows.mapInArrow(_measured(shared), "other double, " + ", ".join(f"{f} double" for f in FEATURES)).toArrow()
+    table = np.array([c.to_numpy() for c in found.columns]).T.reshape(-1, 1 + len(FEATURES))
+    table = table[np.lexsort(table.T[::-1])]  # the order of the rows does not matter to the fit
+    return vocabulary, Mixture(table[:, 1:], table[:, 0])
 
 
 def _judge(model):
