@@ -79,6 +79,14 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """A table for a join: marked for broadcast if it has at most ``rows`` rows, else as it is, to be
+    shuffled.  Meant for staged tables; any other is computed twice."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def remove_at_exit(spark: SparkSession, path: str) -> None:
     if not _written:
         atexit.register(_remove)
