@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import staged
+from ..session import small, staged
 
 # Letters of other scripts that look like Latin ones.
 CYRILLIC = "аеорсухіјѕһԁԛԝӏАВЕКМНОРСТХУЅІЈԚԜЁёЇї"
@@ -200,12 +200,13 @@ def same_look(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", exp
     joins.  Only the hashes are shuffled, never a text."""
     rows = staged(looks(df, id_col, text_col))
     mixed = rows.groupBy("look").agg(F.min("chars").alias("c0"), F.max("chars").alias("c1")).where("c0 <> c1").select("look")
-    member = staged(rows.join(mixed, "look", "left_semi"))
-    classes = member.groupBy("look", "chars").agg(F.count("*").alias("n"))
+    # staged before they are joined, so that a look or class with a great part of the rows is split
+    member = staged(rows.join(small(staged(mixed), 500_000), "look", "left_semi"))
+    classes = staged(member.groupBy("look", "chars").agg(F.count("*").alias("n")))
     parts = lambda c: F.ceil(F.col(c) / expand).cast("int")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     part = lambda c, of: F.pmod(F.xxhash64(c), F.col(of)).cast("int")
-    of_look = classes.groupBy("look").agg(F.count("*").alias("v")).select("look", parts("v").alias("salts"))
+    of_look = staged(classes.groupBy("look").agg(F.count("*").alias("v")).select("look", parts("v").alias("salts")))
     sized = classes.select("look", "chars", parts("n").alias("parts")).join(of_look, "look")
     left = sized.select("look", F.col("chars").alias("ca"), F.col("parts").alias("pa"), every("salts").alias("salt"))
     right = sized.select("look", F.col("chars").alias("cb"), F.col("parts").alias("pb"), part("chars", "salts").alias("salt"))

@@ -9,7 +9,8 @@ the four coordinates of some mask and meet in that table; by the pigeonhole prin
 every pair that differs in at most 15 of the 32 coordinates.  A pair of similarity 0.6 meets with
 probability 0.98, one of 0.7 with 0.999.  What meets is then checked exactly on the shingle sets.
 
-Copies (equal word sequences) form a class first; only one row per class goes on.  The join in the
+Copies (equal word sequences) form a class first; only one row per class goes on, and the copies' sketches
+are never brought together.  The join in the
 tables streams its pairs and is split where a table's bucket is skewed, so no bucket is held in
 one task; no bucket is capped.
 
@@ -27,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import staged
+from ..session import small, staged
+from .groups import hash_to_min
 from .words import WordHashes, scramble, shingles, words
 
 GROUPS, WIDTH = 4, 8
@@ -111,18 +113,33 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).where("id IS NOT NULL AND t IS NOT NULL")
     made = staged(rows.mapInArrow(_sketches(shingle), rows.select("id").schema.simpleString()[7:-1].replace(":", " ") + ", cls long, sketch binary, shingles binary"))
     ids = made.select("id", "cls").dropDuplicates()
-    classes = ids.groupBy("cls").agg(F.min("id").alias("rep"), F.count("*").alias("n"))
-    copied = classes.where("n > 1")
+    classes = staged(ids.groupBy("cls").agg(F.min("id").alias("rep"), F.count("*").alias("n")))
+    members = ids.join(classes, "cls")
     # one row per class: rows of texts that occur once need no lookup, so only the copied classes are joined
-    reps = made.join(copied, "cls", "left").where("n IS NULL OR id = rep").select("cls", "sketch", "shingles")
+    copied = small(staged(classes.where("n > 1")), 500_000)
+    left_out = staged(ids.join(copied, "cls").where("id <> rep").select("id", "cls"))
+    reps = made.join(small(left_out, 500_000), ["id", "cls"], "left_anti")
     keys = reps.select("cls", "sketch").mapInArrow(_keys, "key long, cls long")
     left, right = keys.toDF("key", "a"), keys.toDF("key", "b")
     met = staged(left.join(right, "key").where("a < b").select("a", "b").distinct())
     near = met.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    sets = reps.select("cls", "shingles").join(near, "cls", "left_semi").dropDuplicates(["cls"])
+    # staged, as all sides of joins on classes, so that a class with a great part of the pairs is split
+    sets = staged(reps.select("cls", "shingles").join(near, "cls", "left_semi").dropDuplicates(["cls"]))
     both = met.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
-    pairs = both.mapInArrow(_jaccard(similarity), "a long, b long, similarity double")
-    return ids.join(classes, "cls"), pairs
+    return members, both.mapInArrow(_jaccard(similarity), "a long, b long, similarity double")
+
+
+def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(id, group_id) of every document with words: all that are linked directly or indirectly have the
+    smallest id among them as their group's."""
+    members, pairs = near_duplicates(df, id_col, text_col, shingle, similarity)
+    members = staged(members)
+    linked = hash_to_min(pairs.select(F.col("a").alias("lo"), F.col("b").alias("hi"))).toDF("top", "cls")
+    tops = staged(linked.unionByName(linked.select("top", F.col("top").alias("cls")).distinct()))
+    reps = members.select("cls", "rep").distinct()
+    leads = staged(tops.join(reps, "cls").groupBy("top").agg(F.min("rep").alias("group_id")))
+    of_class = staged(tops.join(leads, "top").select("cls", "group_id"))
+    return members.join(of_class, "cls", "left").select("id", F.coalesce("group_id", "rep").alias("group_id"))
 
 
 def near_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, expand: int = 1000) -> DataFrame:

@@ -67,6 +67,10 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_pairs(_table(spark, sf_dir, "documents"), "doc_id", "text", shingle=3, similarity=0.6).toDF("doc_lo", "doc_hi")
 
 
+def p7_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_groups(_table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
+
+
 def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), "doc_id", "text", capacity=2048)
 
