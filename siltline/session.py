@@ -79,6 +79,17 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, column: str, buckets: int) -> DataFrame:
+    """A staged table in buckets by a column: joins and groupings on it with the same number of
+    partitions read it where it lies, so it is shuffled once, however often it is used."""
+    spark = df.sparkSession
+    name = f"siltline_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/siltline-{name}"
+    df.repartition(buckets, column).write.format("parquet").bucketBy(buckets, column).option("path", path).option("compression", "zstd").saveAsTable(name)
+    remove_at_exit(spark, path)
+    return spark.table(name)
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """A table for a join: marked for broadcast if it has at most ``rows`` rows, else as it is, to be
     shuffled.  Meant for staged tables; any other is computed twice."""
