@@ -1,17 +1,20 @@
 """The k most similar vectors of every vector (problem 2): inverted file with product quantisation.
 
 Coarse centroids and the codebooks of the residuals are fitted on a bounded sample (``train`` rows,
-chosen by a hash of the id); every vector is indexed.  A vector is in the list of its nearest
-centroid.  Its neighbours are looked for in its own list, where all vectors are at hand and the
-similarity is exact, and in the other lists whose centroids are nearest to the vector itself: as many
-as the square root of the number of lists, ``probe`` at least.  To these only the vector's code goes.
-The asymmetric distance of a code to the vectors of a list is the sum of table entries, one per
-sub-space; for the codes of a list together these sums are the product of the vectors with the decoded
-codes, and they are computed as that.  A vector whose estimate comes within the estimate's error of
-the fifth best known so far is requested, fetched, and the similarity is computed exactly.
-
-Shuffled are each vector once, its code once for each list probed and the vectors requested.  Of more
-than ``k + 1`` equal vectors in a batch the rest follow the first: their nearest are copies of themselves.
+chosen by a hash of the id, or ``LEAST`` a list); every vector is indexed.  There are as many lists as give
+``list_size`` vectors each; a list that would hold more than twice its share of the sample is split into
+further ones.  A vector is in the list of its nearest centroid.  Its neighbours are looked for in its own
+list, where all vectors are at hand and the similarity is exact, and in the other lists whose centroids are
+nearest to the vector itself: half as many as the square root of the number of lists, ``probe`` at least.
+To these only the vector's code goes.  The asymmetric distance of a code to the vectors of a list is the
+sum of table entries, one per sub-space; for the codes of a list together these sums are the product of
+the vectors with the decoded codes, and they are computed as that.  A vector whose estimate comes within
+the estimate's error of the fifth best known so far is requested, fetched, and the similarity is computed
+exactly.
+
+The lists are written once, in buckets by list, and every later step reads them where they lie.  Shuffled are
+each vector once, its code once for each list probed and the vectors requested.  Of more than ``k + 1``
+equal vectors in a batch the rest follow the first: their nearest are copies of themselves.
 
 Unusable vectors (null, wrong length, not finite, all zero) have no row.  Repeated rows count once.
 Ties go to the smaller id.  With k or fewer usable vectors all the others come.  An empty table
@@ -26,9 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import staged
+from ..session import bucketed, staged
 
-SUB = 32
+SUB, LEAST, LISTS_A_BUCKET = 32, 4, 4
 
 
 def usable(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -45,11 +48,17 @@ def usable(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     return at[good], (flat[good] / norm[good, None]).astype(np.float32)
 
 
+def _closest(x: np.ndarray, c: np.ndarray, cells: int = 16_000_000) -> np.ndarray:
+    """The nearest centroid of each vector, in blocks that bound the matrix of distances."""
+    half, block = (c * c).sum(1) / 2, max(1, cells // len(c))
+    return np.concatenate([(x[b : b + block] @ c.T - half).argmax(1) for b in range(0, len(x), block)]) if len(x) else np.zeros(0, np.int64)
+
+
 def k_means(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
     """Lloyd's centroids; an empty cluster keeps its centroid."""
     c = x[np.random.default_rng(seed).choice(len(x), k, replace=False)].copy()
     for _ in range(rounds):
-        a = (x @ c.T - (c * c).sum(1) / 2).argmax(1)
+        a = _closest(x, c)
         n = np.bincount(a, minlength=k)
         total = np.stack([np.bincount(a, x[:, j], k) for j in range(x.shape[1])], 1)
         c[n > 0] = (total[n > 0] / n[n > 0, None]).astype(np.float32)
@@ -61,18 +70,24 @@ class Index:
 
     def __init__(self, sample: np.ndarray, lists: int, probe: int, seed: int = 7):
         self.c = k_means(sample, lists, 12, seed)
-        self.probe = min(lists - 1, max(probe, round(lists**0.5)))
+        own = self.assign(sample)
+        n, share = np.bincount(own, minlength=lists), len(sample) / lists
+        more = [k_means(sample[own == j], int(min(n[j], np.ceil(n[j] / share))), 6, seed) for j in np.nonzero(n > 2 * share)[0]]
+        if more:
+            self.c = np.concatenate([self.c[n <= 2 * share], *more])
+            lists = len(self.c)
+        self.probe = min(lists - 1, max(probe, round(lists**0.5 / 2)))
         rest = sample - self.c[self.assign(sample)]
         self.width = sample.shape[1] // SUB if sample.shape[1] % SUB == 0 else sample.shape[1]
         subs = sample.shape[1] // self.width
         k = min(256, len(sample))
-        self.books = [k_means(rest[:, s * self.width : (s + 1) * self.width], k, 6, seed + s) for s in range(subs)]
-        lost = (self.decode(self.assign(sample), self.encode(sample)) - sample)[: 2000]
-        estimates = np.abs(sample[:2000] @ lost.T)
-        self.error = float(np.quantile(estimates, 0.998)) if len(lost) else 0.0
+        self.books = [k_means(rest[:50_000, s * self.width : (s + 1) * self.width], min(k, len(rest[:50_000])), 6, seed + s) for s in range(subs)]
+        few = sample[:2000]
+        lost = self.decode(self.assign(few), self.encode(few)) - few
+        self.error = float(np.quantile(np.abs(few @ lost.T), 0.998)) if len(few) else 0.0
 
     def assign(self, x: np.ndarray) -> np.ndarray:
-        return (x @ self.c.T - (self.c * self.c).sum(1) / 2).argmax(1)
+        return _closest(x, self.c)
 
     def probes(self, x: np.ndarray, home: int) -> np.ndarray:
         """The lists to search for each vector of a list, nearest to the vector, without the list itself."""
@@ -257,19 +272,24 @@ def _exact(dim: int):
 def nearest(df: DataFrame, id_col: str = "id", vector_col: str = "embeddings", k: int = 5, dim: int = 64, list_size: int = 3000, probe: int = 3, train: int = 20_000) -> DataFrame:
     """(q, n, similarity): for each usable vector its ``k`` most similar others by cosine.
 
-    ``probe`` is the least number of further lists searched.  ``train`` bounds the sample of the fit; at most 16,384 lists are made."""
+    ``probe`` is the least number of further lists searched.  ``train`` bounds the sample of the fit, ``LEAST`` rows
+    a list if there are many lists."""
     spark = df.sparkSession
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where("id IS NOT NULL AND v IS NOT NULL")
     total = rows.count()
-    lists = int(min(16_384, max(1, total // list_size)))
-    train = max(train, 16 * lists)
+    lists = int(max(1, total // list_size))
+    train = max(train, LEAST * lists)
     share = min(1_000_000, int(1.3e6 * train / max(total, 1)) + 1)
-    sample = rows.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share).limit(train).toArrow()
+    sample = rows.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share).orderBy(F.xxhash64("id"), "id").limit(train).toArrow()
     x = usable(sample["v"], dim)[1]
     if not len(x):
         return spark.createDataFrame([], "q long, n long, similarity float")
-    index = spark.sparkContext.broadcast(Index(x, min(lists, len(x)), probe))
+    index = Index(x, min(lists, len(x)), probe)
+    lists, index = len(index.c), spark.sparkContext.broadcast(index)
     placed = rows.mapInArrow(_place(index, dim, k), "list int, id long, vector binary, key long, follows boolean")
+    # buckets of some lists each, and enough of them for every core
+    buckets = max(min(lists, spark.sparkContext.defaultParallelism), lists // LISTS_A_BUCKET)
+    placed = bucketed(placed, "list", buckets)
     home = placed.where("NOT follows").select("list", "id", "vector")
     first = staged(home.groupBy("list").applyInArrow(_own_list(index, dim, k), "q long, n long, similarity float, home int, code binary, lists array<int>"))
     codes = first.where("n IS NULL").select("q", F.col("similarity").alias("floor"), "home", "code", F.explode("lists").alias("to_list"))
