@@ -13,13 +13,24 @@ from .expr import deferred, ratio, words
 
 
 def word_distance(a: list[str], b: list[str]) -> int:
-    """Edit distance of word lists."""
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        left, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            left, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, left + (x != y))
-    return row[len(b)]
+    """Edit distance of word lists, a column of the table at a time as the bits of one number each for
+    where it rises and where it falls (the bit-vector algorithm of Myers and Hyyro)."""
+    if not a or not b:
+        return len(a) or len(b)
+    places: dict[str, int] = {}
+    for i, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << i
+    every, top, distance = (1 << len(a)) - 1, 1 << (len(a) - 1), len(a)
+    rises, falls = every, 0
+    for y in b:
+        same = places.get(y, 0)
+        down = (((same & rises) + rises) ^ rises) | same | falls
+        right = falls | (every & ~(down | rises))
+        level = rises & down
+        distance += bool(right & top) - bool(level & top)
+        right = (right << 1 | 1) & every
+        rises, falls = ((level << 1) | (every & ~(down | right))) & every, right & down
+    return distance
 
 
 def _pairs(one, kind: str):

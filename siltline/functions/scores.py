@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import flat
 from .expr import BLANK, SPACE_CLASS, VISIBLE, chars_in, count_of, deferred, joined_length, lines, lines_ending, paragraphs, ratio, strip, whole_words, word_total, words
 
 
@@ -180,63 +181,15 @@ def repeated_paragraphs_by_char(least: float = 0.8) -> Rule:
     return Rule("repeated_paragraphs_by_char", lambda t: ratio(joined_length(F.array_distinct(paragraphs(t))), joined_length(paragraphs(t))), at_least(least))
 
 
-_WS = re.compile("[" + re.sub(r"\\u(\w{4})", lambda m: chr(int(m[1], 16)), SPACE_CLASS) + "]+")
-
-
-def _split(text: str) -> list[str]:
-    return [w for w in _WS.split(text) if w]
-
-
-class Grams:
-    """Word n-grams of a text as hashes, for several n."""
-
-    def __init__(self, text: str):
-        self.text, self.words = text, _split(text)
-        ids: dict[str, int] = {}
-        self.ids = np.array([ids.setdefault(w, len(ids)) for w in self.words], np.uint64)
-        self.ends = np.cumsum([0, *map(len, self.words)])
-        self.hashes: dict[int, np.ndarray] = {}
-
-    def of(self, n: int) -> np.ndarray:
-        if n not in self.hashes:
-            x = (self.ids + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-            if n == 1:
-                self.hashes[n] = x
-            else:  # the shorter n-gram, and its last word
-                h = self.of(n - 1)[:-1]
-                self.hashes[n] = (h ^ (h >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F) + x[n - 1 :]
-        return self.hashes[n]
-
-    def top_share(self, n: int) -> float:
-        """Share of characters that go with the most frequent n-gram, the first of equals."""
-        if len(self.words) < n:
-            return 1.0
-        _, first, count = np.unique(self.of(n), return_index=True, return_counts=True)
-        at = int(first[count == count.max()].min())
-        most = " ".join(self.words[at : at + n])
-        return self.text.count(most) * len(most) / len(self.text)
-
-    def duplicate_share(self, n: int) -> float:
-        """Share of characters inside n-grams that came before; overlaps count once."""
-        if len(self.words) < n:
-            return 1.0
-        h = self.of(n)
-        again = np.ones(len(h), bool)
-        again[np.unique(h, return_index=True)[1]] = False
-        at = np.nonzero(again)[0]
-        if not len(at):
-            return 0.0
-        covered = np.maximum(0, n - np.diff(at, prepend=at[0] - n))  # leading words that are counted already
-        chars = self.ends[at + n] - self.ends[at + covered] + np.minimum(n - covered, n - 1)
-        return int(chars.sum()) / len(self.text)
+
 
 
 def top_ngram_share(text: str | None, n: int) -> float | None:
-    return None if text is None else Grams(text).top_share(n)
+    return None if text is None else float(flat.Grams([text]).top_shares(n)[0])
 
 
 def duplicate_ngram_share(text: str | None, n: int) -> float | None:
-    return None if text is None else Grams(text).duplicate_share(n)
+    return None if text is None else float(flat.Grams([text]).duplicate_shares(n)[0])
 
 
 def _batched(fn: Callable[[str | None], object], kind: str) -> Callable[[Column], Column]:
@@ -248,24 +201,11 @@ def _batched(fn: Callable[[str | None], object], kind: str) -> Callable[[Column]
 
 
 def repeating_top_ngrams(n: int = 2, limit: float = 0.2) -> Rule:
-    return Rule(f"repeating_top_{n}grams", _batched(lambda t: top_ngram_share(t, n), "double"), at_most(limit))
+    return Rule(f"repeating_top_{n}grams", flat.gram_share("top", n), at_most(limit))
 
 
 def repeating_duplicate_ngrams(n: int = 2, limit: float = 0.2) -> Rule:
-    return Rule(f"repeating_duplicate_{n}grams", _batched(lambda t: duplicate_ngram_share(t, n), "double"), at_most(limit))
-
-
-def repetition_shares(tops: tuple[int, ...] = (2, 3, 4), duplicates: tuple[int, ...] = (5, 6, 7, 8, 9, 10)) -> Callable[[Column], Column]:
-    """All n-gram shares as one struct (top_2 ..., dup_5 ...): a text goes to Python once."""
-    names = [f"top_{n}" for n in tops] + [f"dup_{n}" for n in duplicates]
-
-    def run(texts: pd.Series) -> pd.DataFrame:
-        one = lambda g: [g.top_share(n) for n in tops] + [g.duplicate_share(n) for n in duplicates]
-        rows = [[None] * len(names) if t is None else one(Grams(t)) for t in texts]
-        return pd.DataFrame(rows, columns=names, dtype="float64")
-
-    run.__annotations__ = {"texts": pd.Series, "return": pd.DataFrame}
-    return deferred(run, ", ".join(f"{x} double" for x in names))
+    return Rule(f"repeating_duplicate_{n}grams", flat.gram_share("dup", n), at_most(limit))
 
 
 def comment_share_python(code: str | None) -> float | None:

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from ..session import spread, staged, unstage
+from ..session import small, spread, staged, unstage
 
 
 def shuffle_on(df: DataFrame, keys: Sequence[str], parts: int | None = None) -> DataFrame:
@@ -25,18 +23,25 @@ def exact_duplicates(df: DataFrame, id_col: str = "id", text_col: str = "text")
 
     Only hashes and ids are shuffled.  The group's smallest id is found with partial aggregation and
     joined back, so a group of a third of all rows is never sorted or held in one task."""
-    rows = df.select(F.col(id_col).alias("id"), F.md5(F.col(text_col)).alias("h")).where("h IS NOT NULL")
-    first = rows.groupBy("h").agg(F.min("id").alias("keep"), F.count("*").alias("n")).where("n > 1").select("h", "keep")
-    return rows.join(first, "h").where("id <> keep").select(F.col("id").alias(id_col)).distinct()
+    rows = staged(df.select(F.col(id_col).alias("id"), F.md5(F.col(text_col)).alias("h")).where("h IS NOT NULL"))
+    return with_least(rows, ["h"], "id", "keep").where("id <> keep").select(F.col("id").alias(id_col)).distinct()
+
+
+def with_least(rows: DataFrame, keys: Sequence[str], of: str, name: str, broadcast_rows: int = 500_000) -> DataFrame:
+    """Rows of groups with two different values of ``of`` or more, with the least as ``name``.
+
+    The least values are aggregated partially and written before they are joined back: adaptive execution
+    splits the rows of a hot key in a join of two tables that are read, not where one side is aggregated in
+    the same plan.  They are broadcast if they are few."""
+    least = rows.groupBy(*keys).agg(F.min(of).alias(name), F.max(of).alias("__top")).where(F.col(name) != F.col("__top")).drop("__top")
+    return rows.join(small(staged(least), broadcast_rows), list(keys))
 
 
 def remove(df: DataFrame, ids: DataFrame, id_col: str = "id", duplicate_id_col: str = "id", broadcast_rows: int = 1_000_000) -> DataFrame:
     """Rows whose id is not in ``ids``.  The ids are broadcast only if they are at most
     ``broadcast_rows``; beyond that both sides are shuffled and skewed keys split."""
-    gone = ids.select(F.col(duplicate_id_col).alias("__gone")).where("__gone IS NOT NULL").distinct()
-    if gone.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        gone = F.broadcast(gone)
-    return df.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    gone = staged(ids.select(F.col(duplicate_id_col).alias("__gone")).where("__gone IS NOT NULL").distinct())
+    return df.join(small(gone, broadcast_rows), F.col(id_col) == F.col("__gone"), "left_anti")
 
 
 # --- fuzzy ---------------------------------------------------------------------------------------
@@ -46,31 +51,53 @@ def permutations(hashes: int, seed: int) -> np.ndarray:
     return np.random.RandomState(seed).randint(1, 1 << 62, hashes, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def minhash(text: str | None, multipliers: np.ndarray, ngram: int) -> np.ndarray | None:
-    """Signature of the character n-grams; a shorter text is one n-gram."""
-    if text is None:
-        return None
-    data = text.encode("utf-32-le", "surrogatepass")
-    if len(data) <= 4 * ngram:
-        x = np.array([xxhash.xxh3_64_intdigest(data)], np.uint64)
-    else:
-        points = np.frombuffer(data, np.uint32).astype(np.uint64)
-        power = np.uint64(0x9E3779B97F4A7C15)
-        h = np.zeros(len(points) - ngram + 1, np.uint64)
-        for j in range(ngram):  # a polynomial of the n-gram's characters, modulo 2**64
-            h = h * power + points[j : len(points) - ngram + 1 + j]
-        h ^= h >> np.uint64(31)
-        x = h * np.uint64(0xD6E8FEB86659FD93)
-        x ^= x >> np.uint64(32)
-    return np.array([(x * m).min() >> np.uint64(33) for m in multipliers], np.int64)
-
-
-def _signatures(hashes: int, ngram: int, seed: int):
+def ngram_hashes(texts: list[str], ngram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the character n-grams of all texts in a row, and where each text's begin; a shorter text
+    is one n-gram."""
+    parts = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
+    # a text is as long as one n-gram at least, and the n-grams that reach into the next text are left out
+    sizes = np.array([max(len(p), ngram) for p in parts], np.int64)
+    ends = np.cumsum(sizes)
+    flat = np.zeros(int(ends[-1]) + ngram if len(ends) else ngram, np.uint64)
+    for p, e, n in zip(parts, ends.tolist(), sizes.tolist()):
+        flat[e - n : e - n + len(p)] = p
+    m = len(flat) - ngram
+    power, h = np.uint64(0x9E3779B97F4A7C15), np.zeros(m, np.uint64)
+    for j in range(ngram):  # a polynomial of the n-gram's characters, modulo 2**64
+        h *= power
+        h += flat[j : m + j]
+    h ^= h >> np.uint64(31)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    whole = np.ones(m, bool)
+    for back in range(1, ngram):
+        whole[ends - back] = False
+    return h[whole], np.r_[0, np.cumsum(sizes - ngram + 1)[:-1]] if len(ends) else np.zeros(0, np.int64)
+
+
+def minhash(texts: list[str], multipliers: np.ndarray, ngram: int) -> np.ndarray:
+    """Signatures [text, hash] of the character n-grams: of each text the least of each permutation."""
+    h, starts = ngram_hashes(texts, ngram)
+    out, buffer = np.empty((len(texts), len(multipliers)), np.int64), np.empty_like(h)
+    for j, m in enumerate(multipliers):
+        np.multiply(h, m, out=buffer)
+        out[:, j] = np.minimum.reduceat(buffer, starts) >> np.uint64(33)
+    return out
+
+
+def _signatures(hashes: int, ngram: int, seed: int, characters: int = 500_000):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         multipliers = permutations(hashes, seed)
         for batch in batches:
-            signatures = [minhash(t, multipliers, ngram) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signatures, pa.list_(pa.int64()))], ["id", "signature"])
+            texts = batch.column(1).to_pylist()
+            begin, held = 0, 0
+            for i, t in enumerate(texts):  # some texts at a time, so that what is hashed stays in the cache
+                held += len(t)
+                if held >= characters or i + 1 == len(texts):
+                    made = minhash(texts[begin : i + 1], multipliers, ngram)
+                    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, made.size + 1, hashes), pa.int32()), pa.array(made.ravel()))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, i + 1 - begin), lists], ["id", "signature"])
+                    begin, held = i + 1, 0
 
     return run
 
@@ -88,16 +115,14 @@ def lsh_edges(signatures: DataFrame, bands: int = 20, rows_per_band: int = 13) -
     which partial aggregation gives; no bucket is collected."""
     band = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.slice("signature", i * rows_per_band + 1, rows_per_band)))
     keys = signatures.select("id", F.explode(band).alias("bucket"))
-    least = keys.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("top")).where("lo <> top").select("bucket", "lo")
-    return keys.join(least, "bucket").where("id <> lo").select("lo", F.col("id").alias("hi")).distinct()
+    return with_least(keys, ["bucket"], "id", "lo").where("id <> lo").select("lo", F.col("id").alias("hi")).distinct()
 
 
 def lsh_buckets(signatures: DataFrame, bands: int = 20, rows_per_band: int = 13) -> DataFrame:
     """(band, bucket, id) of the buckets with two documents or more, as rows."""
     band = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.struct(i.alias("band"), F.xxhash64(i, F.slice("signature", i * rows_per_band + 1, rows_per_band)).alias("bucket")))
     keys = signatures.select("id", F.inline(band))
-    many = keys.groupBy("band", "bucket").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("band", "bucket")
-    return keys.join(many, ["band", "bucket"], "left_semi").select("band", "bucket", "id")
+    return with_least(keys, ["band", "bucket"], "id", "lo").select("band", "bucket", "id")
 
 
 def chain_edges(buckets: DataFrame, members_col: str = "ids") -> DataFrame:
@@ -111,18 +136,19 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(id, group): the smallest id each id is connected to, for edges (lo, hi).
 
     Alternating large-star and small-star: in each round every vertex links its larger neighbours, then
-    its smaller ones, to the smallest it knows.  Rows only, partial aggregation and skew-split joins;
-    rounds are written to the shared folder."""
+    its smaller ones, to the smallest it knows.  Rows only; the smallest come from partial aggregation and
+    are written before they are joined back, so that a hot vertex is split."""
     now = staged(edges.where("lo <> hi").select(F.least("lo", "hi").alias("lo"), F.greatest("lo", "hi").alias("hi")).distinct())
     before = None
     for _ in range(rounds):
         both = now.select(F.col("lo").alias("v"), F.col("hi").alias("u")).unionByName(now.select(F.col("hi").alias("v"), F.col("lo").alias("u")))
-        least = both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m"))
-        large = both.join(least, "v").where("u > v AND u <> m").select(F.col("m").alias("lo"), F.col("u").alias("hi")).distinct()
-        down = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(down, "hi").select(F.explode(F.array(F.struct(F.col("m").alias("lo"), F.col("lo").alias("hi")), F.struct(F.col("m").alias("lo"), F.col("hi").alias("hi")))).alias("e")).select("e.lo", "e.hi").where("lo <> hi")
-        old, now = now, staged(small.distinct())
-        unstage(old)
+        least = staged(both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m")))
+        large = staged(both.join(least, "v").where("u > v AND u <> m").select(F.col("m").alias("lo"), F.col("u").alias("hi")).distinct())
+        down = staged(large.groupBy("hi").agg(F.min("lo").alias("m")))
+        linked = large.join(down, "hi").select(F.explode(F.array(F.struct(F.col("m").alias("lo"), F.col("lo").alias("hi")), F.struct(F.col("m").alias("lo"), F.col("hi").alias("hi")))).alias("e")).select("e.lo", "e.hi").where("lo <> hi")
+        old, now = now, staged(linked.distinct())
+        for table in (old, least, large, down):
+            unstage(table)
         state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("lo", "hi"))).first()
         if tuple(state) == before:
             break
@@ -135,19 +161,17 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 def fuzzy_duplicates(df: DataFrame, id_col: str = "id", text_col: str = "text", ngram: int = 24, bands: int = 20, rows_per_band: int = 13, seed: int = 42) -> DataFrame:
     """(id, group) of documents that share a bucket, directly or through others.  Equal texts are
     signed once: only their smallest id goes through the hashing."""
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), F.md5(F.col(text_col)).alias("h")).where("t IS NOT NULL")
-    keys = rows.select("id", "h")
-    first = keys.groupBy("h").agg(F.min("id").alias("keep"), F.count("*").alias("n")).where("n > 1")
-    copies = keys.join(first, "h").where("id <> keep").select(F.col("keep").alias("lo"), F.col("id").alias("hi"))
-    once = rows.join(copies.select(F.col("hi").alias("id")), "id", "left_anti")
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).where("t IS NOT NULL")
+    keys = staged(rows.select("id", F.md5("t").alias("h")))
+    copies = staged(with_least(keys, ["h"], "id", "keep").where("id <> keep").select(F.col("keep").alias("lo"), F.col("id").alias("hi")))
+    once = rows.join(small(copies.select(F.col("hi").alias("id")), 1_000_000), "id", "left_anti")
     signed = staged(minhash_signatures(once, "id", "t", bands * rows_per_band, ngram, seed))
     return connected_components(lsh_edges(signed, bands, rows_per_band).unionByName(copies))
 
 
 def duplicates_of_groups(groups: DataFrame, id_col: str = "id", group_col: str = "group") -> DataFrame:
     """Ids to remove: all but the smallest of each group."""
-    least = groups.groupBy(group_col).agg(F.min(id_col).alias("__keep"))
-    return groups.join(least, group_col).where(F.col(id_col) != F.col("__keep")).select(id_col)
+    return with_least(groups, [group_col], id_col, "__keep").where(F.col(id_col) != F.col("__keep")).select(id_col)
 
 
 # --- semantic ------------------------------------------------------------------------------------
@@ -176,26 +200,44 @@ def k_means(df: DataFrame, k: int = 100, vector_col: str = "embeddings", iterati
     return out.withColumn("l2_dist_to_cent", F.sqrt(dot(apart, apart))).withColumn("cosine_dist_to_cent", 1 - dot(F.col("__unit"), unit(F.col("__c")))).drop("__unit", "__v", "__c")
 
 
-def ranked(df: DataFrame, which: str = "hard", by: str = "cosine_dist_to_cent", id_col: str = "id", seed: int = 42) -> tuple[Column, ...]:
-    """The order within a cluster: far from the centre first, near first, or random."""
+Order = Sequence[tuple[str, "str | Column"]]
+
+
+def ranked(which: str = "hard", by: str = "cosine_dist_to_cent", id_col: str = "id", seed: int = 42) -> Order:
+    """The order within a cluster, as (direction, column): far from the centre first, near first, or random."""
     if which == "random":
-        return (F.xxhash64(F.col(id_col), F.lit(seed)), F.col(id_col))
+        return (("asc", F.xxhash64(F.col(id_col), F.lit(seed))), ("asc", id_col))
     if which not in ("hard", "easy"):
         raise ValueError("which must be hard, easy or random")
-    return (F.desc(by), F.desc(id_col)) if which == "hard" else (F.asc(by), F.asc(id_col))
+    direction = "desc" if which == "hard" else "asc"
+    return ((direction, by), (direction, id_col))
+
+
+def _directions(order: Order) -> list[Callable]:
+    return [{"asc": F.asc, "desc": F.desc}[direction] for direction, _ in order]
+
+
+def _bare(order: Order) -> list[Column]:
+    return [F.col(c) if isinstance(c, str) else c for _, c in order]
 
 
-def pairwise_similarity(df: DataFrame, order: Sequence[Column], id_col: str = "id", vector_col: str = "embeddings", cluster_col: str = "centroid", block: int = 4096) -> DataFrame:
+def pairwise_similarity(df: DataFrame, order: Order, id_col: str = "id", vector_col: str = "embeddings", cluster_col: str = "centroid", block: int = 4096) -> DataFrame:
     """(id, max_id, cosine_sim_score): for each vector the most similar of those ranked before it in its
     cluster, at least 0; the first of a cluster gets itself and 0.
 
     A cluster is cut into blocks of ranks, and a task compares a block with one that comes no later, so
     a task's memory is two blocks whatever the size of the cluster."""
-    numbered = df.select(F.col(id_col).alias("id"), F.col(cluster_col).alias("c"), unit(F.col(vector_col)).alias("v"), (F.row_number().over(Window.partitionBy(cluster_col).orderBy(*order)) - 1).alias("r")).where("v IS NOT NULL")
-    numbered = staged(numbered.withColumn("b", F.floor(F.col("r") / block).cast("int")))
-    blocks = numbered.groupBy("c").agg((F.max("b") + 1).alias("blocks"))
-    left = numbered.join(blocks, "c").select("c", F.col("b").alias("b1"), F.explode(F.sequence(F.lit(0), F.col("b"))).alias("b2"), "id", "r", "v")
-    right = numbered.join(blocks, "c").select(F.col("c").alias("c_"), F.explode(F.sequence(F.col("b"), F.col("blocks") - 1)).alias("b1_"), F.col("b").alias("b2_"), F.col("id").alias("id_"), F.col("r").alias("r_"), F.col("v").alias("v_"))
+    keyed = df.select(F.col(id_col).alias("id"), F.col(cluster_col).alias("c"), unit(F.col(vector_col)).alias("v"), *[o.alias(f"__o{i}") for i, o in enumerate(_bare(order))]).where("v IS NOT NULL")
+    keyed = staged(keyed.withColumn("__vec", F.monotonically_increasing_id()))
+    by = [F.asc("c") if c is None else c for c in (None, *(d(f"__o{i}") for i, d in enumerate(_directions(order))))]
+    # ranks within a cluster without a window: rows are range-sorted by cluster and rank key, numbered, and a
+    # cluster's first number taken off; the vectors, which were not sorted, are joined by row
+    sorted_ids = numbered(keyed.drop("v", "id"), "r", by).select("__vec", "c", "r")
+    first = small(staged(sorted_ids.groupBy("c").agg(F.min("r").alias("first"), F.count("*").alias("n"))), 1_000_000)
+    places = sorted_ids.join(first, "c").select("__vec", (F.col("r") - F.col("first")).alias("r"), F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    ranks = staged(keyed.select("__vec", "id", "c", "v").join(places, "__vec").drop("__vec").withColumn("b", F.floor(F.col("r") / block).cast("int")))
+    left = ranks.select("c", F.col("b").alias("b1"), F.explode(F.sequence(F.lit(0), F.col("b"))).alias("b2"), "id", "r", "v")
+    right = ranks.select(F.col("c").alias("c_"), F.explode(F.sequence(F.col("b"), F.col("blocks") - 1)).alias("b1_"), F.col("b").alias("b2_"), F.col("id").alias("id_"), F.col("r").alias("r_"), F.col("v").alias("v_"))
     kind = df.schema[id_col].dataType.simpleString()
 
     def best(one: pa.Table, two: pa.Table) -> pa.Table:
@@ -246,7 +288,7 @@ def fuzzy_workflow(df: DataFrame, id_col: str = "id", text_col: str = "text", ng
 
 def semantic_workflow(df: DataFrame, id_col: str = "id", vector_col: str = "embeddings", clusters: int = 100, eps: float = 0.01, which: str = "hard", seed: int = 42, iterations: int = 300, perform_removal: bool = False) -> Result:
     placed = staged(k_means(df, clusters, vector_col, iterations, seed=seed))
-    pairs = staged(pairwise_similarity(placed, ranked(placed, which, id_col=id_col, seed=seed), id_col, vector_col))
+    pairs = staged(pairwise_similarity(placed, ranked(which, id_col=id_col, seed=seed), id_col, vector_col))
     gone = staged(similar_ids(pairs, eps))
     out = Result({"clusters": placed, "pairs": pairs, "duplicates": gone}, {"duplicates": gone.count()})
     if perform_removal:
@@ -257,7 +299,7 @@ def semantic_workflow(df: DataFrame, id_col: str = "id", vector_col: str = "embe
 # --- ids -----------------------------------------------------------------------------------------
 
 
-def numbered(df: DataFrame, id_col: str = "_dedup_id", order: Sequence[str] | None = None) -> DataFrame:
+def numbered(df: DataFrame, id_col: str = "_dedup_id", order: Sequence[str | Column] | None = None) -> DataFrame:
     """Add consecutive numbers from 0.  Partitions are counted first and numbered by their offsets, so
     nothing is gathered; with ``order`` the rows are range-sorted by it."""
     rows = df.orderBy(*order) if order else df

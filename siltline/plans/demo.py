@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import flat
 from ..functions import modifiers as M
 from ..functions import scores as S
 from ..functions.expr import SPACE_CLASS
@@ -127,14 +128,23 @@ def english_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def heuristic_cascade(df: DataFrame, rules: list[S.Rule], text_col: str = "text") -> DataFrame:
-    """Rules in order; the n-gram rules of a cascade share one pass through Python."""
+    """Rules in order.  Rules whose scores come from one pass over a batch share it, and so do the n-gram
+    rules, which see only what the others leave."""
     jvm = [r for r in rules if not r.name.startswith("repeating_")]
+    one_pass = [r for r in jvm if flat.supported([r.name])]
+    jvm = [r for r in jvm if r not in one_pass]
     grams = [r for r in rules if r.name.startswith("repeating_")]
-    out = score_filter.score_filter(spread(df), jvm, text_col)
+    out = spread(df)
+    if one_pass:
+        out = out.withColumn("__scores", flat.heuristics([r.name for r in one_pass])(F.col(text_col)))
+        for r in one_pass:
+            out = out.where(r.keep(F.col(f"__scores.{r.name}")))
+        out = out.drop("__scores")
+    out = score_filter.score_filter(out, jvm, text_col)
     if grams:
         name = lambda r: ("top_" if "top" in r.name else "dup_") + "".join(c for c in r.name if c.isdigit())
         sizes = lambda kind: tuple(int(name(r)[4:]) for r in grams if name(r).startswith(kind))
-        out = out.withColumn("__shares", S.repetition_shares(sizes("top_"), sizes("dup_"))(F.col(text_col)))
+        out = out.withColumn("__shares", flat.gram_shares(sizes("top_"), sizes("dup_"))(F.col(text_col)))
         for r in grams:
             out = out.where(r.keep(F.col(f"__shares.{name(r)}")))
         out = out.drop("__shares")
@@ -290,7 +300,7 @@ _UNIT = "SELECT vec_id AS id, label AS c, embedding AS v FROM embeddings"
 @register("d14_pairwise_similarity", f"WITH e AS ({_UNIT}), p AS (SELECT a.id, greatest(0, max(list_cosine_similarity(a.v::double[], b.v::double[]))) AS s FROM e a JOIN e b ON a.c = b.c AND b.id < a.id GROUP BY a.id) SELECT e.id, round(coalesce(p.s, 0), 4)::double AS score FROM e LEFT JOIN p USING (id)")
 def pairwise_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
-    return dedup.pairwise_similarity(e, (F.asc("vec_id"),), "vec_id", "embedding", "label").select("id", F.round(F.col("cosine_sim_score").cast("double"), 4).alias("score"))
+    return dedup.pairwise_similarity(e, (("asc", "vec_id"),), "vec_id", "embedding", "label").select("id", F.round(F.col("cosine_sim_score").cast("double"), 4).alias("score"))
 
 
 @register("d15_similar_ids", "SELECT DISTINCT id FROM pairwise_results WHERE cosine_sim_score >= 0.95::float AND NOT isnan(cosine_sim_score)")

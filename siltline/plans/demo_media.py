@@ -86,7 +86,7 @@ def scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("n05_conversation_windows")
 def conversation_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = windows.conversation_windows(table(spark, sf_dir, "manifest_a").dropDuplicates(["audio_filepath"]), target=30.0)
-    return m.select("audio_filepath", F.size("windows").alias("windows"), "window_stats.lost_bw", "window_stats.lost_spk", "window_stats.truncations")
+    return m.select("audio_filepath", F.size("windows").alias("windows"), *[f"window_stats.{c}" for c in ("lost_bw", "lost_sr", "lost_spk", "lost_win", "lost_no_spkr", "lost_next_seg_bm", "truncations")])
 
 
 @register("n06_filter_overlaps")

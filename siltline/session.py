@@ -81,11 +81,12 @@ def staged(df: DataFrame) -> DataFrame:
 
 def bucketed(df: DataFrame, column: str, buckets: int) -> DataFrame:
     """A staged table in buckets by a column: joins and groupings on it with the same number of
-    partitions read it where it lies, so it is shuffled once, however often it is used."""
+    partitions read it where it lies.  Rows that are partitioned by the column into as many parts already
+    give one file a bucket; others should be repartitioned so first."""
     spark = df.sparkSession
     name = f"siltline_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/siltline-{name}"
-    df.repartition(buckets, column).write.format("parquet").bucketBy(buckets, column).option("path", path).option("compression", "zstd").saveAsTable(name)
+    df.write.format("parquet").bucketBy(buckets, column).option("path", path).option("compression", "zstd").saveAsTable(name)
     remove_at_exit(spark, path)
     return spark.table(name)
 

@@ -48,11 +48,63 @@ def test_conversation_windows():
     segments = [seg(0, 5), seg(5, 10, "b"), seg(10, 14, "a", 4000), seg(14, 20), seg(20, 25, "b"), seg(25, 60, "b")]
     found, lost = W.build_windows(segments, 16000, target=10.0, max_speakers=2)
     assert [(w["segments"][0]["start"], w["segments"][-1]["end"]) for w in found] == [(0.0, 10.0), (14.0, 25.0)]
-    assert found[0]["speaker_durations"] == [5.0, 5.0, 0.0, 0.0, 0.0] and lost["lost_bw"] == 1
-    assert W.build_windows(segments, 8000) [1]["lost_sr"] == 6 and W.build_windows([], 16000)[0] == []
-    assert W.build_windows([seg(0, 5, None), seg(5, 10)], 16000, target=10.0)[0] == []
-    cut, n = W.build_windows([seg(0, 6), seg(6, 20, "b")], 16000, target=10.0)
-    assert cut[0]["segments"][-1]["end"] == pytest.approx(11.0) and n["truncations"] == 2 and cut[0]["segments"][-1]["text"] == "one"
+    assert found[0]["speaker_durations"] == [5.0, 5.0, 0.0, 0.0, 0.0] and (lost["lost_bw"], lost["dur_lost_bw"]) == (1, 4.0)
+    # 5-10 is stopped by the narrow segment; 20-25 and 25-60 are cut without words, so they end where they begin
+    assert (lost["lost_win"], lost["dur_lost_win"], lost["lost_next_seg_bm"], lost["dur_lost_next_seg_bm"], lost["lost_no_spkr"], lost["truncations"]) == (3, 45.0, 1, 5.0, 0, 2)
+    assert lost["total_segments"] == 6 and lost["total_dur"] == 60.0
+    assert W.build_windows(segments, 8000)[1]["lost_sr"] == 6 and W.build_windows(segments, None)[1]["dur_lost_sr"] == 60.0 and W.build_windows([], 16000)[0] == []
+    # a segment without speaker counts for none, so one speaker is left
+    found, lost = W.build_windows([seg(0, 5, None), seg(5, 10)], 16000, target=10.0)
+    assert found == [] and lost["lost_spk"] == 1 and lost["lost_win"] == 1
+    # one that says it has none stops the window
+    found, lost = W.build_windows([seg(0, 5), seg(5, 10, "no-speaker"), seg(10, 20)], 16000, target=10.0)
+    assert found == [] and lost["lost_no_spkr"] == 2 and lost["lost_win"] == 3
+
+
+def test_window_cut_at_words():
+    words = [{"word": w, "start": 6.0 + 2 * i, "end": 8.0 + 2 * i} for i, w in enumerate("one two three four five six seven".split())]
+    cut, n = W.build_windows([seg(0, 6), {**seg(6, 20, "b"), "words": words}], 16000, target=10.0)
+    assert cut[0]["segments"][-1]["end"] == 10.0 and cut[0]["segments"][-1]["text"] == "one two" and n["truncations"] == 2
+    assert W.build_windows([seg(0, 6), {**seg(6, 20, "b"), "words": words}], 16000, target=10.0, truncate=False)[1]["truncations"] == 0
+
+
+def test_windows_against_the_rule_step_by_step():
+    import random
+
+    rng = random.Random(7)
+    for _ in range(300):
+        at, segments = 0.0, []
+        for _ in range(rng.randint(0, 14)):
+            at += rng.random() * 3
+            segments.append(seg(round(at, 2), round(at + rng.random() * 6, 2), rng.choice(["a", "b", "c", None, "no-speaker"][: rng.choice([2, 3, 4, 5])]), rng.choice([8000, 8000, 8000, 4000])))
+        segments.sort(key=lambda s: (s["start"], s["end"]))
+        most, want, lost = rng.randint(1, 3), [], {"win": 0, "spk": 0, "no_spkr": 0, "next_seg_bm": 0, "bw": 0}
+        for i, s in enumerate(segments):
+            if s["bandwidth"] < 8000:
+                lost["bw"] += 1
+                continue
+            n, last, stop = 0, s["end"], len(segments) - 1
+            for j in range(i, len(segments)):
+                who = {x["speaker"] for x in segments[i : j + 1] if x["speaker"]}
+                late = segments[j]["end"] - s["start"] > 8 * (1 + 0.25)
+                if segments[j]["bandwidth"] < 8000 or len(who) > most or "no-speaker" in who or late and segments[j]["start"] >= s["start"] + 10:
+                    stop = j
+                    break
+                n, last = n + 1, segments[j]["start"] if late else segments[j]["end"]
+                if late:
+                    stop = j
+                    break
+            if not 6 <= last - s["start"] <= 10 or n < 2:
+                lost["win"] += 1
+                lost["no_spkr"] += segments[stop]["speaker"] in (None, "no-speaker")
+                lost["next_seg_bm"] += segments[stop]["speaker"] not in (None, "no-speaker") and segments[stop]["bandwidth"] < 8000
+            elif len({x["speaker"] for x in segments[i : i + n] if x["speaker"]}) < 1:
+                lost["spk"] += 1
+            else:
+                want.append((i, n))
+        found, stats = W.build_windows(segments, 16000, target=8.0, tolerance=0.25, min_speakers=1, max_speakers=most)
+        assert [(segments.index(next(x for x in segments if x["start"] == w["segments"][0]["start"] and x["text"] is w["segments"][0]["text"] and x == w["segments"][0] or x["start"] == w["segments"][0]["start"])), len(w["segments"])) for w in found] == want
+        assert {k: stats[f"lost_{k}"] for k in lost} == lost
 
 
 def test_overlaps():

@@ -1,10 +1,12 @@
 """Scores against plain restatements, on chosen cases and on the test documents."""
 
+import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from siltline.functions import flat
 from siltline.functions import scores as S
 from siltline.operators import score_filter as sf
 
@@ -101,7 +103,35 @@ def test_ngram_scores_against_restatement(spark, data):
             grams = [" ".join(ws[i : i + 3]) for i in range(len(ws) - 2)]
             top = max(dict.fromkeys(grams), key=grams.count)
             assert S.top_ngram_share(t, 3) == pytest.approx((len(t) - len(t.replace(top, ""))) / len(t))
-    assert S.repetition_shares()  # builds without a session
+    assert flat.gram_shares()  # builds without a session
+
+
+def test_scores_of_a_batch_are_those_of_the_rules(spark, data):
+    odd = ["", "   ", "\n\n", "a", "# a", "#a# #b#c# ##", "…", "read more..", "x read more \n y...\t\n• z\n  • k\n•", "http://porn.example/a%20b and https://x.y", "word " * 300, "lorem ipsum\n\nx", "terms of use\n\nprivacy policy\n\nz", "न म स् ते दुनिया", "a\xa0b\u2003c\x0bd\x0c", "the be to of THE that", "1 2 3 ४५", "((x)) [y] {z}"]
+    d = spark.read.parquet(f"{data}/documents.parquet").select("text").unionByName(spark.createDataFrame([(t,) for t in odd], "text string")).where("text IS NOT NULL")
+    rules = [r for r in S.english_cascade() if not r.name.startswith("repeating_")]
+    assert flat.supported([r.name for r in rules])
+    rows = d.select(*[r.score(F.col("text")).cast("double").alias(f"one_{r.name}") for r in rules], flat.heuristics([r.name for r in rules])(F.col("text")).alias("all")).collect()
+    for r in rules:
+        for row in rows:
+            assert row[f"one_{r.name}"] == (None if row["all"][r.name] is None else pytest.approx(row["all"][r.name], abs=1e-9)), r.name
+
+
+def test_grams_of_a_batch():
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("abc") for _ in range(n)) for n in (0, 1, 2, 5, 9, 30, 200)] + ["x y z " * 50, "same words", "same words"]
+    together = flat.Grams(texts)
+    for n in (1, 2, 3, 5, 7):
+        for i, t in enumerate(texts):
+            ws = t.split()
+            seen, covered = set(), set()
+            for k in range(len(ws) - n + 1):
+                g = tuple(ws[k : k + n])
+                if g in seen:
+                    covered |= {(j, k) for j in range(k, k + n)}
+                seen.add(g)
+            assert together.duplicate_shares(n)[i] == pytest.approx(flat.Grams([t]).duplicate_shares(n)[0]) and together.top_shares(n)[i] == pytest.approx(flat.Grams([t]).top_shares(n)[0])
+            assert (together.duplicate_shares(n)[i] > 0) == (len(ws) < n or bool(covered))
 
 
 def test_tokenizer_rules(spark):
