@@ -12,7 +12,7 @@ the vectors with the decoded codes, and they are computed as that.  A vector who
 the estimate's error of the fifth best known so far is requested, fetched, and the similarity is computed
 exactly.
 
-The lists are written once, in buckets by list, and every later step reads them where they lie.  Shuffled are
+What is known of a list's vectors is written once, in buckets by list, and every later step reads it where it lies.  Shuffled are
 each vector once, its code once for each list probed and the vectors requested.  Of more than ``k + 1``
 equal vectors in a batch the rest follow the first: their nearest are copies of themselves.
 
@@ -26,10 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import bucketed, staged
+from ..session import bucketed
 
 SUB, LEAST, LISTS_A_BUCKET = 32, 4, 4
 
@@ -159,16 +160,17 @@ def _worth_asking(r: np.ndarray, estimate: np.ndarray, error: float, k: int) ->
 
 
 def _own_list(index, dim: int, k: int, cells: int = 8_000_000):
-    """Per list: exact neighbours within it, and for each vector a row without a neighbour: the k-th best
-    similarity so far, its code and the lists it probes."""
+    """Per list, a row for each of its vectors: the exact neighbours within it, the k-th best similarity so
+    far, the code and the lists it probes.  Vectors that follow another pass through without."""
 
-    def run(key: tuple, home: pa.Table) -> pa.Table:
+    def run(key: tuple, placed: pa.Table) -> pa.Table:
         ix, home_list = index.value, int(key[0].as_py())
+        follows = placed["follows"].combine_chunks()
+        late, home = placed.filter(follows), placed.filter(pc.invert(follows))
         ids, first = np.unique(home["id"].to_numpy(), return_index=True)
         x = _matrix(home["vector"], np.float32, dim)[first]
-        out: list[list] = [[], [], []]
-        floors, codes, probes = [], [], []
-        block = max(16, min(512, cells // max(len(ids), len(ix.c))))  # bounds the matrix of similarities
+        near, sims_of, floors, codes, probes = [], [], [], [], []
+        block = max(16, min(512, cells // max(1, len(ids), len(ix.c))))  # bounds the matrix of similarities
         for b in range(0, len(ids), block):
             q = x[b : b + block]
             sims = q @ x.T
@@ -176,18 +178,19 @@ def _own_list(index, dim: int, k: int, cells: int = 8_000_000):
             floor = np.full(len(q), -1.0, np.float32)
             for r, c in enumerate(_best(sims, ids, k)):
                 c = c[sims[r, c] > -2]
-                out[0] += [int(ids[b + r])] * len(c)
-                out[1] += ids[c].tolist()
-                out[2] += sims[r, c].tolist()
+                near.append(ids[c])
+                sims_of.append(sims[r, c])
                 if len(c) == k:
                     floor[r] = sims[r, c[-1]]
             floors += floor.tolist()
             codes += [v.tobytes() for v in ix.encode(q)]
             probes += ix.probes(q, home_list).tolist()
-        n, m = len(out[0]), len(ids)
+        n, m = len(ids), late.num_rows
+        none = [None] * m
         return pa.table({
-            "q": pa.array(out[0] + ids.tolist(), pa.int64()), "n": pa.array(out[1] + [None] * m, pa.int64()), "similarity": pa.array(out[2] + floors, pa.float32()),
-            "home": pa.array([home_list] * (n + m), pa.int32()), "code": pa.array([None] * n + codes, pa.binary()), "lists": pa.array([None] * n + probes, pa.list_(pa.int32())),
+            "list": pa.array(np.full(n + m, home_list), pa.int32()), "id": pa.array(np.concatenate([ids, late["id"].to_numpy()])), "vector": pa.array([v.tobytes() for v in x] + none, pa.binary()),
+            "key": pa.array(np.concatenate([home["key"].to_numpy()[first], late["key"].to_numpy()])), "follows": pa.array(np.arange(n + m) >= n), "floor": pa.array(floors + none, pa.float32()), "code": pa.array(codes + none, pa.binary()),
+            "lists": pa.array(probes + none, pa.list_(pa.int32())), "near": pa.array(near + none, pa.list_(pa.int64())), "sims": pa.array(sims_of + none, pa.list_(pa.float32())),
         })
 
     return run
@@ -222,14 +225,21 @@ def _probed(index, dim: int, k: int, cells: int = 8_000_000):
     return run
 
 
+def _flat(lists: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a column of lists, and the row of each."""
+    lists = lists.combine_chunks()
+    return lists.flatten().to_numpy(), np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+
+
 def _requests(index, k: int):
     """Per home list: of what the lists probed offer, the vectors that may still be among the k best,
     given the neighbours known and what the other offers are at least worth."""
 
     def run(key: tuple, offered: pa.Table, known: pa.Table) -> pa.Table:
         error, asks = index.value.error, offered["q"].to_numpy()
-        q = np.concatenate([asks, known["q"].to_numpy()])
-        sure = np.concatenate([offered["estimate"].to_numpy() - error, known["similarity"].to_numpy()])
+        sims, row = _flat(known["sims"])
+        q = np.concatenate([asks, known["q"].to_numpy()[row]])
+        sure = np.concatenate([offered["estimate"].to_numpy() - error, sims])
         order = np.lexsort((-sure, q))
         ids, first, n = np.unique(q[order], return_index=True, return_counts=True)
         least = np.where(n >= k, sure[order[np.minimum(first + k, len(q)) - 1]], -np.inf) if len(ids) else np.zeros(0)
@@ -240,31 +250,47 @@ def _requests(index, k: int):
 
 
 def _fetch(dim: int):
-    """Per list: the vectors asked for, once for each list that asks."""
+    """Per list: the vectors asked for, once for each list that asks, with the queries they are for."""
 
     def run(key: tuple, asked: pa.Table, home: pa.Table) -> pa.Table:
         if not asked.num_rows or not home.num_rows:
             return pa.table({"home": pa.array([], pa.int32()), "n": pa.array([], pa.int64()), "vector": pa.array([], pa.binary()), "queries": pa.array([], pa.list_(pa.int64()))})
         ids = home["id"].to_numpy()
         order = np.argsort(ids, kind="stable")
-        at = order[np.searchsorted(ids[order], asked["n"].to_numpy())]
-        return pa.table({"home": asked["home"], "n": asked["n"], "vector": home["vector"].take(pa.array(at)), "queries": asked["queries"].cast(pa.list_(pa.int64()))})
+        q, n, of = (asked[c].to_numpy() for c in ("q", "n", "home"))
+        by = np.lexsort((q, n, of))
+        q, n, of = q[by], n[by], of[by]
+        first = np.nonzero(np.r_[True, (n[1:] != n[:-1]) | (of[1:] != of[:-1])])[0]
+        at = order[np.searchsorted(ids[order], n[first])]
+        queries = pa.ListArray.from_arrays(pa.array(np.r_[first, len(q)], pa.int32()), pa.array(q))
+        return pa.table({"home": pa.array(of[first], pa.int32()), "n": pa.array(n[first]), "vector": home["vector"].take(pa.array(at)), "queries": queries})
 
     return run
 
 
-def _exact(dim: int):
+def _final(dim: int, k: int):
+    """Per home list: the k best of each of its vectors, of those known and those fetched."""
+
     def run(key: tuple, fetched: pa.Table, home: pa.Table) -> pa.Table:
-        out = {"q": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "similarity": pa.array([], pa.float32())}
-        if fetched.num_rows and home.num_rows:
-            ids = home["id"].to_numpy()
+        if not home.num_rows:
+            return pa.table({"q": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "similarity": pa.array([], pa.float32())})
+        ids = home["id"].to_numpy()
+        near, row = _flat(home["near"])
+        q, n, s = ids[row], near, _flat(home["sims"])[0]
+        if fetched.num_rows:
             order = np.argsort(ids, kind="stable")
-            lists = fetched["queries"].combine_chunks()
-            q = lists.flatten().to_numpy()
-            row = np.repeat(np.arange(fetched.num_rows), lists.value_lengths().to_numpy())
-            x, v = _matrix(home["vector"], np.float32, dim)[order[np.searchsorted(ids[order], q)]], _matrix(fetched["vector"], np.float32, dim)
-            out = {"q": pa.array(q), "n": pa.array(fetched["n"].to_numpy()[row]), "similarity": pa.array(np.einsum("ij,ij->i", x, v[row]))}
-        return pa.table(out)
+            asked, of = _flat(fetched["queries"])
+            at, v = order[np.searchsorted(ids[order], asked)], _matrix(fetched["vector"], np.float32, dim)
+            x = _matrix(home["vector"], np.float32, dim)
+            exact = np.concatenate([np.einsum("ij,ij->i", x[at[b : b + 65536]], v[of[b : b + 65536]]) for b in range(0, len(at), 65536)])
+            q, n, s = np.concatenate([q, asked]), np.concatenate([n, fetched["n"].to_numpy()[of]]), np.concatenate([s, exact.astype(np.float32)])
+        order = np.lexsort((n, -s.round(6), q))
+        q, n, s = q[order], n[order], s[order]
+        same = np.zeros(len(q), bool)  # a vector is in one list only, so a pair can come once only but for repeats
+        same[1:] = (q[1:] == q[:-1]) & (n[1:] == n[:-1])
+        q, n, s = q[~same], n[~same], s[~same]
+        rank = np.arange(len(q)) - np.searchsorted(q, q, "left")
+        return pa.table({"q": pa.array(q[rank < k]), "n": pa.array(n[rank < k]), "similarity": pa.array(s[rank < k], pa.float32())})
 
     return run
 
@@ -289,24 +315,21 @@ def nearest(df: DataFrame, id_col: str = "id", vector_col: str = "embeddings", k
     placed = rows.mapInArrow(_place(index, dim, k), "list int, id long, vector binary, key long, follows boolean")
     # buckets of some lists each, and enough of them for every core
     buckets = max(min(lists, spark.sparkContext.defaultParallelism), lists // LISTS_A_BUCKET)
-    placed = bucketed(placed, "list", buckets)
-    home = placed.where("NOT follows").select("list", "id", "vector")
-    first = staged(home.groupBy("list").applyInArrow(_own_list(index, dim, k), "q long, n long, similarity float, home int, code binary, lists array<int>"))
-    codes = first.where("n IS NULL").select("q", F.col("similarity").alias("floor"), "home", "code", F.explode("lists").alias("to_list"))
-    offered = codes.groupBy("to_list").cogroup(home.groupBy("list")).applyInArrow(_probed(index, dim, k), "q long, n long, estimate float, home int, of_list int")
-    known = first.where("n IS NOT NULL").select("home", "q", "similarity")
-    asked = offered.groupBy("home").cogroup(known.groupBy("home")).applyInArrow(_requests(index, k), "q long, n long, home int, of_list int").groupBy("of_list", "home", "n").agg(F.collect_list("q").alias("queries"))
-    fetched = asked.groupBy("of_list").cogroup(home.groupBy("list")).applyInArrow(_fetch(dim), "home int, n long, vector binary, queries array<long>")
-    exact = fetched.groupBy("home").cogroup(home.groupBy("list")).applyInArrow(_exact(dim), "q long, n long, similarity float")
-    found = first.where("n IS NOT NULL").select("q", "n", "similarity").unionByName(exact)
-    best = found.groupBy("q").agg(F.collect_set(F.struct("n", "similarity")).alias("all"))
-    ordered = F.array_sort(F.transform("all", lambda x: F.struct((-F.round(x["similarity"], 6)).alias("far"), x["n"].alias("n"), x["similarity"].alias("similarity"))))
-    direct = best.select("q", F.inline(F.slice(ordered, 1, k))).select("q", "n", "similarity")
+    schema = "list int, id long, vector binary, key long, follows boolean, floor float, code binary, lists array<int>, near array<long>, sims array<float>"
+    first = bucketed(placed.repartition(buckets, "list").groupBy("list").applyInArrow(_own_list(index, dim, k), schema), "list", buckets)
+    home = first.where("NOT follows")
+    vectors = home.select("list", "id", "vector").groupBy("list")
+    codes = home.select(F.col("id").alias("q"), "floor", F.col("list").alias("home"), "code", F.explode("lists").alias("to_list"))
+    offered = codes.groupBy("to_list").cogroup(vectors).applyInArrow(_probed(index, dim, k), "q long, n long, estimate float, home int, of_list int")
+    known = home.select("list", F.col("id").alias("q"), "sims").groupBy("list")
+    asked = offered.groupBy("home").cogroup(known).applyInArrow(_requests(index, k), "q long, n long, home int, of_list int")
+    fetched = asked.groupBy("of_list").cogroup(vectors).applyInArrow(_fetch(dim), "home int, n long, vector binary, queries array<long>")
+    direct = fetched.groupBy("home").cogroup(home.select("list", "id", "vector", "near", "sims").groupBy("list")).applyInArrow(_final(dim, k), "q long, n long, similarity float")
     # copies beyond k + 1 of a batch: the nearest are the copies with the smallest ids
-    followers = placed.where("follows").select("id", "key")
+    followers = first.where("follows").select("id", "key")
     if followers.isEmpty():
         return direct
-    salted = placed.select("key", "id").join(followers.select("key").distinct(), "key", "left_semi").groupBy("key", F.pmod("id", F.lit(997)).alias("salt")).agg(F.slice(F.array_sort(F.collect_set("id")), 1, k + 1).alias("ids"))
+    salted = first.select("key", "id").join(followers.select("key").distinct(), "key", "left_semi").groupBy("key", F.pmod("id", F.lit(997)).alias("salt")).agg(F.slice(F.array_sort(F.collect_set("id")), 1, k + 1).alias("ids"))
     leaders = salted.groupBy("key").agg(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, k + 1).alias("ids"))
     late = followers.dropDuplicates(["id"]).join(leaders, "key").select(F.col("id").alias("q"), F.explode(F.slice(F.filter("ids", lambda i: i != F.col("id")), 1, k)).alias("n")).withColumn("similarity", F.lit(1.0).cast("float"))
     return direct.unionByName(late)

@@ -104,6 +104,20 @@ def test_near_pairs_against_brute_force(spark):
     assert near.near_pairs(docs(spark, []), shingle=3, similarity=0.6).count() == 0
 
 
+def test_near_groups(spark):
+    base = [f"w{i}" for i in range(60)]
+    chain = [" ".join(base[i * 4 :] + [f"x{j}" for j in range(i * 4)]) for i in range(4)]  # each is near the next only
+    rows = [(10 + i, t) for i, t in enumerate(chain)] + [(1, chain[3]), (30, "alone in here"), (31, None), (32, " "), (10, chain[0])]
+    assert pairs(near.near_groups(docs(spark, rows), shingle=3, similarity=0.6)) == {(1, 1), *((10 + i, 1) for i in range(4)), (30, 30)}
+    assert near.near_groups(docs(spark, []), shingle=3, similarity=0.6).count() == 0
+
+
+def test_a_hot_class_is_whole(spark):
+    rows = [(i, "the same words in every one of these many rows") for i in range(300)] + [(1000 + i, f"the same words in every one of these many rows {i}") for i in range(4)]
+    got = pairs(near.near_groups(docs(spark, rows), shingle=3, similarity=0.6))
+    assert got == {(i, 0) for i in [*range(300), *range(1000, 1004)]}
+
+
 # --- 9 -------------------------------------------------------------------------------------------
 
 ITEM = "the quiet harbour keeps seven boats near the old mill while a careful clerk counts every rope and the tall keeper writes each number twice before noon on paper that nobody ever reads again in winter"
@@ -163,6 +177,30 @@ def test_groups_against_union_find(spark):
     assert groups.groups(df.limit(0)).count() == 0
 
 
+def test_links_of_a_task_are_joined_in_bounded_parts():
+    import pyarrow as pa
+
+    edges = [(f"{a:04d}", f"{b:04d}") for a, b in np.random.default_rng(3).integers(0, 400, (600, 2)) if a != b]
+    batch = pa.RecordBatch.from_arrays([pa.array([min(e) for e in edges]), pa.array([max(e) for e in edges])], ["lo", "hi"])
+
+    def groups_of(links):
+        parent = {}
+
+        def find(x):
+            while parent.setdefault(x, x) != x:
+                x = parent[x]
+            return x
+
+        for a, b in links:
+            a, b = find(a), find(b)
+            parent[max(a, b)] = min(a, b)
+        return {x: find(x) for x in parent}
+
+    for most in (10, 10_000):
+        made = [(lo, hi) for b in groups._stars(most)([batch.slice(i, 100) for i in range(0, len(edges), 100)]) for lo, hi in zip(*(c.to_pylist() for c in b.columns))]
+        assert groups_of(made) == groups_of(edges)
+
+
 # --- 2 -------------------------------------------------------------------------------------------
 
 
@@ -210,6 +248,47 @@ def test_language_held_out(spark, data):
     assert language.document_languages(new.limit(0), parser).count() == 0
 
 
+OTHERS = {
+    "pl": "Wczoraj poszedłem do sklepu, żeby kupić chleb i mleko, ale było już zamknięte.", "ar": "ذهبت أمس إلى السوق لشراء الخبز والحليب ولكن المتجر كان مغلقا.",
+    "hi": "कल मैं बाज़ार गया था लेकिन दुकान बंद थी इसलिए मैं घर लौट आया।", "zh": "昨天我去商店买面包和牛奶，但是商店已经关门了，所以我只好回家。", "he": "אתמול הלכתי לחנות לקנות לחם וחלב אבל היא כבר הייתה סגורה.",
+}
+
+
+def test_languages_without_labelled_text_are_none_of_those_known(spark, data):
+    table = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text", "lang")
+    # such letters in the labelled text do no harm, and a language is known once it has labelled text
+    odd = spark.createDataFrame([(-i, f"A note in English on {x}", "en") for i, x in enumerate(OTHERS.values(), 1)] + [(-20 - i, "我昨天去了商店买面包。" * (i + 3) + "但是商店已经关门了，所以我只好回家。", "ja" if i > 7 else "zh") for i in range(8)], "doc_id long, text string, lang string")
+    parser = language.train(table, "doc_id", "text", "lang")
+    lang, conf, _, _ = parser.judge([language.letters(t) for t in OTHERS.values()])
+    assert lang == ["und"] * len(OTHERS) and not conf.any()
+    parser = language.train(table.unionByName(odd), "doc_id", "text", "lang")
+    assert parser.judge([language.letters(OTHERS["zh"])])[0] == ["zh"]
+    assert parser.judge([language.letters("The careful reader writes the last report before the next release.")])[0] == ["en"]
+
+
+def test_pieces_of_long_texts_go_on():
+    texts = {"a": "abcab cabca bbcca " * 30, "b": "bcdbd cdbbc ddbca " * 30}
+    parser, rng = language.Parser(texts), random.Random(2)
+    long = "".join(rng.choice("abcd ") for _ in range(9000))
+    whole = parser.phrases([long])[0]
+    old = language.PIECE
+    try:
+        for language.PIECE in (7, 64, 100_000):
+            assert np.allclose(parser.phrases([long, "abc"])[0][0], whole[0])
+    finally:
+        language.PIECE = old
+
+
+def test_pages_have_a_row(spark, data):
+    docs_, items = spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/interleaved.parquet")
+    got = language.languages(docs_, items).where("src = 'interleaved'").toPandas()
+    pages = got[got.seg_no == -1]
+    with_text = items.where("modality = 'text' AND trim(text_content) <> ''").select("sample_id").distinct().count()
+    assert len(pages) == pages.rec_id.nunique() == with_text
+    texts = got[got.seg_no >= 0].groupby("rec_id").lang.agg(lambda x: x.mode()[0])
+    assert (pages.set_index("rec_id").lang == texts.reindex(pages.rec_id)).mean() > 0.8
+
+
 def test_suffix_automaton_knows_exactly_the_substrings():
     text = [1, 2, 1, 3, 1, 2, 2]
     table = language.suffix_automaton(text, 4)
@@ -239,34 +318,170 @@ def test_quality(spark, data):
     blank = {r["doc_id"] for r in table.where(r"text IS NULL OR NOT rlike(text, '\\S')").collect()}
     assert not blank & set(got)
     agree = [(got[i]["verdict"] == "prose") == (q == "prose") for i, q in known.items() if i in got]
-    assert sum(agree) / len(agree) >= 0.7
+    assert sum(agree) / len(agree) >= 0.75
     odd = docs(spark, [(1, None), (2, ""), (3, "12 | 13 | 14\n15 | 16 | 17\n18 | 19 | 20\n21 | 22 | 23"), (4, "a" * 200_000), (5, "\n\n\n")])
     rows = {r["id"]: r for r in quality.quality(odd, labels.limit(0)).collect()}
     assert set(rows) == {3, 4} and rows[3]["verdict"] == "table"
     assert quality.quality(odd.limit(0), labels.limit(0)).count() == 0
 
 
+UNSEEN = {
+    1: "昨日は友だちと一緒に公園へ行きました。天気がとても良かったので、私たちは長い時間散歩をしました。", 2: "Wczoraj poszedłem do sklepu, żeby kupić chleb i mleko. Niestety sklep był już zamknięty, więc wróciłem do domu.",
+    3: "ذهبت أمس إلى السوق لشراء الخبز والحليب. ولكن المتجر كان مغلقا. سأحاول مرة أخرى غدا في الصباح الباكر.", 4: "昨天我去商店买面包和牛奶，但是商店已经关门了。所以我只好回家。明天早上我会再去一次！",
+}
+
+
+def test_prose_of_unseen_languages_is_prose(spark, data):
+    table, labels = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{data}/quality_labels.parquet")
+    more = spark.createDataFrame([(-i, t) for i, t in UNSEEN.items()] + [(-9, "x9 kq | 77 zz1\n0x3f | 0x9a 11")], "doc_id long, text string")
+    got = {r["id"]: r["verdict"] for r in quality.quality(table.unionByName(more), labels).where("id < 0").collect()}
+    assert [got[-i] for i in UNSEEN] == ["prose"] * 4 and got[-9] != "prose"
+
+
+def test_mixture_is_fitted_at_every_size_and_named_by_labels():
+    examples = np.array([e[1] for e in quality.EXAMPLES])
+    for n in (0, 1, 30, 500):
+        x = examples[np.arange(n) % len(examples)] + np.random.default_rng(n).normal(size=(n, examples.shape[1])) * 0.05
+        m = quality.Mixture(x)
+        assert (m.classes(examples) == [e[0] for e in quality.EXAMPLES]).mean() > 0.8
+        assert n == 0 or not np.allclose(m.mu, (examples - m.mean) / m.std)
+    # labels that say a kind of block is no prose
+    x = np.repeat(examples[:1], 200, 0) + np.random.default_rng(1).normal(size=(200, examples.shape[1])) * 0.02
+    assert quality.Mixture(x, np.ones(200)).classes(x[:5]).tolist() != ["prose"] * 5 and quality.Mixture(x, np.zeros(200)).classes(x[:5]).tolist() == ["prose"] * 5
+
+
 # --- 3 -------------------------------------------------------------------------------------------
 
 
-def test_main_body(spark):
-    sentence = "This article number {0} explains how the harbour of town {0} was built over many years. It also names the people."
-    rows = []
-    for p in range(8):
-        lines = ["Home", "Docs", "Home > Docs > Title", f"Title {p}", "Published on 1.2.2020", "", sentence.format(p), f"Sub heading {p}", f"- item {p} one", "Read also: Other", "", sentence.format(p + 100), "Related articles", "Other title", "Third title …", "Our site tells stories about old harbours and the sea.", "All rights reserved 2020 Site"]
-        rows.append((p, "h.example", "\n".join(lines), "k"))
-    rows += [(90, None, "Home\nA title\nThis is one sentence of a page without host.", "k"), (91, "h.example", None, "k"), (92, "h.example", " \n ", "k"), (0, *rows[0][1:])]
-    df = spark.createDataFrame(rows, "page_id long, host string, text string, keys string")
+# a fifth language, of which the operator knows no word
+POLISH = "rzeka miasto dawny młyn stary most wysoka wieża szeroka droga cichy port mała łódka zielony ogród pierwszy rok nowy dom długa ulica jasny dzień ciemny las głęboka woda".split()
+
+
+def polish_pages(pages, hosts, seed=4):
+    """Pages with the numbers of the lines of their bodies."""
+    rng = random.Random(seed)
+    words_ = lambda n: " ".join(rng.choice(POLISH) + rng.choice(["", "", "u", "em"]) for _ in range(n))
+    sentence = lambda: words_(rng.randint(8, 20)).capitalize() + "."
+    rows, want = [], set()
+    for p in range(pages):
+        host = p % hosts
+        out, keep = [], []
+
+        def put(line, body=False):
+            if body:
+                keep.append(len(out))
+            out.append(line)
+
+        for entry in ("Strona główna", "Kontakt", "Cennik", "Pomoc")[: 2 + host % 3]:
+            put(entry)
+        put(f"Strona główna > Cennik > {words_(2)}")
+        put(words_(3).capitalize(), True)
+        put(f"Opublikowano {rng.randint(1, 28)}.{rng.randint(1, 12)}.20{rng.randint(10, 25)}")
+        for _ in range(rng.randint(2, 5)):
+            put(" ".join(sentence() for _ in range(rng.randint(1, 4))), True)
+            if rng.random() < 0.3:
+                put("Reklama")
+            if rng.random() < 0.3:
+                put(words_(2).capitalize(), True)
+                put(sentence(), True)
+        put("Czytaj również")
+        for _ in range(rng.randint(3, 5)):
+            put(words_(rng.randint(2, 6)).capitalize())
+        put("Ta strona używa plików cookie, aby zapamiętać ustawienia.")
+        put(f"Wszelkie prawa zastrzeżone 20{rng.randint(10, 25)}")
+        rows.append((p, f"h{host}.example", "\n".join(out), "k"))
+        want |= {(p, n) for n in keep}
+    return rows, want
+
+
+PAGES = "page_id long, host string, text string, keys string"
+
+
+def test_main_body_of_a_language_it_knows_no_word_of(spark):
+    rows, want = polish_pages(240, 8)
+    df = spark.createDataFrame(rows, PAGES)
     got = pairs(mainbody.main_lines(df).select("page_id", "line_no"))
-    assert got == {(p, n) for p in range(8) for n in (3, 6, 7, 8, 11)} | {(90, 1), (90, 2)}
+    assert len(got & want) >= 0.95 * len(want) and len(got & want) >= 0.95 * len(got)
+    # the windows matter
+    assert pairs(mainbody.main_lines(df, window=1).select("page_id", "line_no")) != got
+    # site lines found by a join by host are those found by broadcast
+    assert pairs(mainbody.main_lines(df, broadcast_lines=0).select("page_id", "line_no")) == got
+    # repeated rows change nothing
+    assert pairs(mainbody.main_lines(df.where("page_id < 100").unionByName(df.where("page_id < 100")).unionByName(df.where("page_id >= 100")), least_pages=8).select("page_id", "line_no")) - want == pairs(mainbody.main_lines(df, least_pages=8).select("page_id", "line_no")) - want
+
+
+def test_main_body_edges(spark):
+    rows = [(90, None, "A title\nThis is one sentence of a page without host.", "k"), (91, "h.example", None, "k"), (92, "h.example", " \n ", "k"), (93, "h.example", "", "k"), (94, "h.example", "word " * 20_000 + "end.", "k")]
+    df = spark.createDataFrame(rows, PAGES)
+    assert pairs(mainbody.main_lines(df).select("page_id", "line_no")) == {(90, 0), (90, 1), (94, 0)}
     assert mainbody.main_lines(df.limit(0)).count() == 0
     assert mainbody.main_text(df.where("page_id = 90")).first()["body"] == "A title\nThis is one sentence of a page without host."
     assert mainbody.page_lines("<p>one</p>\n<script>x\ny</script>\n<b>two</b>") == ["one", "", "", "two"]
 
 
+def test_surge_and_dive():
+    long = "This line of running text is long enough to count as one here."
+    lines = ["Menu", "Other", "A title", long, long, "Box", "One", "Two", "Three", "Four", long, "Foot", "Note", "More", "Last"]
+    kind = [1, 1, 0, 0, 0, 2, 0, 0, 0, 0, 0, 1, 1, 1, 0]
+    assert mainbody.body(lines, kind) == [2, 3, 4, 10]
+    # a stretch that is light for its page is none of it
+    assert mainbody.body([long * 9, "x", "x", "x", "Short one of a few words."], [0, 1, 1, 1, 0]) == [0]
+    assert mainbody.body(["- one", "- two", "- three"], [0, 0, 0]) == [0, 1, 2] and mainbody.body(["one", "two"], [0, 0]) == []
+
+
 # --- 6 -------------------------------------------------------------------------------------------
 
 
+def test_pauses_and_continuity_decide_where_labels_do_not():
+    """A segment repeated with two labels votes for both; then the pause before it and whether the
+    sentence runs on say to whose turn it belongs."""
+    both = {"a": 0.5, "b": 0.5}
+
+    def entry(second_start, first_words, second_words, third_start):
+        return [(0.0, 2.0, {"a": 1.0}, first_words), (second_start, second_start + 1.0, both, second_words), (third_start, third_start + 2.0, {"b": 1.0}, ["Yes."])]
+
+    near_first = entry(2.0, ["so", "we", "then"], ["went", "home."], 5.0)
+    near_second = entry(5.0, ["We", "went", "home."], ["Good", "then"], 6.0)
+    w = turns.START
+    assert turns.segment_turns([near_first, near_second], w) == [[("a", 0, 1), ("b", 2, 2)], [("a", 0, 0), ("b", 1, 2)]]
+    without = w.copy()
+    without[[3, 4, 6, 7]] = 0.0  # no pauses and no continuity
+    assert turns.segment_turns([near_first, near_second], without) != turns.segment_turns([near_first, near_second], w)
+
+
+def test_weights_are_estimated(spark, data):
+    rows = spark.read.parquet(f"{data}/manifest_a.parquet").where("segments IS NOT NULL").select(F.transform("segments", lambda s: F.struct(s["text"].alias("text"), s["start"].alias("start"), s["end"].alias("end"), s["speaker"].alias("speaker"))).alias("segments")).toArrow()
+    entries = [e for e in turns._read(rows.column(0).combine_chunks()) if e]
+    w = turns.fit(entries)
+    lanes = turns.Lanes([e for e in entries if all(len(r[2]) <= 1 for r in e)])
+    alive = np.arange(lanes.votes.shape[1])[None, :] < lanes.size[:, None]
+    assert (lanes.best(w) == lanes.ruled())[alive].all()
+    # they come from the entries: other weights to begin with end at ones that give the same turns
+    turns_start = turns.START
+    try:
+        turns.START = np.zeros(len(turns_start))
+        other = turns.fit(entries, rounds=400)
+    finally:
+        turns.START = turns_start
+    assert (lanes.best(other) == lanes.ruled())[alive].mean() > 0.99
+
+
+def test_best_segmentation_against_all():
+    """Every way to give speakers to a few segments, scored by the features of its turns."""
+    rng = np.random.default_rng(6)
+    from itertools import product
+
+    for _ in range(30):
+        n = int(rng.integers(2, 7))
+        votes = [{}, {"a": 1.0}, {"b": 1.0}, {"a": 0.5, "c": 0.5}]
+        at = np.cumsum(rng.random(n) * 3)
+        rows = [(float(at[i]), float(at[i] + rng.random()), votes[rng.integers(0, 4)], [["We", "so"][rng.integers(0, 2)], ["on", "end."][rng.integers(0, 2)]]) for i in range(n)]
+        lanes, w = turns.Lanes([rows]), rng.normal(size=len(turns.FEATURES))
+        scores = {who: float(lanes.features(np.array([who])) @ w) for who in product(range(len(lanes.speakers[0])), repeat=n)}
+        found = tuple(lanes.best(w)[0].tolist())
+        assert np.isclose(scores[found], max(scores.values()))
+
+
 @pytest.mark.parametrize("text,want,who", [("[00:01:02] Speaker 3: Um, hello there. [laughter]", 2, "speaker_3"), (">> HOST: well uh- yes", 2, "host"), ("((noise))", 0, None), ("00:00:40,897 --> 00:00:42,000 Maybe we can", 3, None), (None, 0, None), ("♪ music ♪ fine.", 1, None), ("mmm- erm. hmm...", 0, None), ("note: this stays", 3, None)])
 def test_speech(text, want, who):
     ws, found = turns.speech(text)
