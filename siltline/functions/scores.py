@@ -346,9 +346,9 @@ def histogram(chars: set[str], least: float = 0.8) -> Rule:
     return Rule("histogram", lambda t: (ratio(count_of(strip(t), cls), F.length(t)) > least).cast("int"), lambda s: s == 1)
 
 
-def usual_characters(df: DataFrame, text_col: str = "text", share: float = 0.95, most: int = 5000) -> set[str]:
+def usual_characters(df: DataFrame, text_col: str = "text", share: float = 0.95) -> set[str]:
     """The most frequent characters that make up ``share`` of trusted rows; an alphabet, so bounded."""
-    chars = df.select(F.explode(F.split(strip(F.col(text_col)), "")).alias("c")).where("c <> ''").groupBy("c").count().orderBy(F.desc("count"), "c").limit(most).collect()
+    chars = df.select(F.explode(F.split(strip(F.col(text_col)), "")).alias("c")).where("c <> ''").groupBy("c").count().orderBy(F.desc("count"), "c").collect()
     goal, got, out = share * sum(r["count"] for r in chars), 0, set()
     for r in chars:
         if got >= goal:
@@ -358,9 +358,14 @@ def usual_characters(df: DataFrame, text_col: str = "text", share: float = 0.95,
     return out
 
 
-def quality_probability(score: Column, alpha: float = 3.0, seed: int = 42) -> Column:
-    """Stochastic keep of a model's quality score: a Lomax draw above 1 - score."""
-    return F.pow(1 - F.rand(seed), F.lit(-1.0 / alpha)) - 1 > 1 - score
+def draw(key: Column, seed: int = 42) -> Column:
+    """A number from 0 to below 1 that looks random and is the same for the same key, wherever it is drawn."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string"))), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
+
+
+def quality_probability(score: Column, key: Column, alpha: float = 3.0, seed: int = 42) -> Column:
+    """Stochastic keep of a model's quality score: a Lomax draw, by the document's key, above 1 - score."""
+    return F.pow(1 - draw(key, seed), F.lit(-1.0 / alpha)) - 1 > 1 - score
 
 
 def language_score(predict: Callable[[list[str]], list[tuple[float, str]]], least: float = 0.3) -> Rule:

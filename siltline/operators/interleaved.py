@@ -78,10 +78,10 @@ def image_filter(df: DataFrame, score: Callable[[bytes | None], float | None], l
 
 def best_text_match(df: DataFrame, similarity: Callable[[Column, Column], Column], image_col: str, text_col: str, least: float = 0.15) -> DataFrame:
     """Image rows whose best text of the sample reaches ``least``; an image without texts goes."""
-    texts = df.where("modality = 'text'").select("sample_id", F.col(text_col).alias("__t"))
-    images = df.where("modality = 'image'").select("sample_id", F.col("position").alias("__p"), F.col(image_col).alias("__i"))
-    best = images.join(texts, "sample_id").groupBy("sample_id", "__p").agg(F.max(similarity(F.col("__i"), F.col("__t"))).alias("__best"))
-    joined = df.join(best, (df["sample_id"] == best["sample_id"]) & (df["position"] == best["__p"]) & (df["modality"] == "image"), "left").drop(best["sample_id"]).drop("__p")
+    texts = df.where("modality = 'text'").select(F.col("sample_id").alias("__s"), F.col(text_col).alias("__t"))
+    images = df.where("modality = 'image'").select(F.col("sample_id").alias("__s"), F.col("position").alias("__p"), F.col(image_col).alias("__i"))
+    best = images.join(texts, "__s").groupBy("__s", "__p").agg(F.max(similarity(F.col("__i"), F.col("__t"))).alias("__best"))
+    joined = df.join(best, (F.col("sample_id") == F.col("__s")) & (F.col("position") == F.col("__p")) & (F.col("modality") == "image"), "left").drop("__s", "__p")
     return keep_content(joined, (F.col("modality") != "image") | (F.col("__best") >= least)).drop("__best")
 
 

@@ -51,15 +51,56 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return put
 
 
+# What the test documents lack and some rules look for: what is put before and after the text of each
+# document, by the remainder of its id.
+CASES = (
+    ("", ""), ('"', '"'), ('<?xml version="1.0"?>\n', ""), ("", " see https://www.example.org/a%20b?c=1 and http://porn.example/x"), ("This site has a Privacy Policy.\n\n", ""),
+    ("", "\n\nPlease read our terms of use"), ("lorem ipsum dolor\n\n", ""), ("http://a.example/one http://b.example/two-three.html\n", ""), ("", "\nThe tokenizer\nThe parser\nThe end"), ('"one"\n', '"'),
+)
+
+
+def adorned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents with these cases."""
+    case = F.pmod("doc_id", F.lit(len(CASES)))
+    at = lambda side: F.array(*[F.lit(c[side]) for c in CASES])[case.cast("int")]
+    return table(spark, sf_dir, "documents").select("doc_id", F.concat(at(0), "text", at(1)).alias("text"))
+
+
+_LIT = lambda x: "'" + x.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+ADORNED = f"(SELECT doc_id, [{', '.join(_LIT(a) for a, _ in CASES)}][(doc_id % {len(CASES)})::int + 1] || text || [{', '.join(_LIT(b) for _, b in CASES)}][(doc_id % {len(CASES)})::int + 1] AS text FROM documents)"
+_ADORNED = {"q04_urls", "q10_boilerplate", "q16_pornographic_urls", "q28_xml_header", "m01_remove_boilerplate", "m02_remove_lines", "m05_remove_quotes", "m07_remove_urls"}
+
+
+def _documents(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adorned(spark, sf_dir) if name in _ADORNED else table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
 def _score_query(name: str, rule: S.Rule, sql: str | None, keep: str | None) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        docs = score_filter.score(table(spark, sf_dir, "documents").select("doc_id", "text"), rule, "s")
+        docs = score_filter.score(_documents(name, spark, sf_dir), rule, "s")
         return docs.select("doc_id", F.round(F.col("s").cast("double"), 6).alias("score"), rule.keep(F.col("s")).alias("keep"))
 
-    full = None if sql is None else f"SELECT doc_id, round(s::double, 6) AS score, coalesce({keep}, false) AS keep FROM (SELECT doc_id, {sql} AS s FROM documents)"
+    full = None if sql is None else f"SELECT doc_id, round(s::double, 6) AS score, coalesce({keep}, false) AS keep FROM (SELECT doc_id, {sql} AS s FROM {ADORNED if name in _ADORNED else 'documents'})"
+    if sql and sql.startswith("WITH"):
+        full = f"SELECT doc_id, round(s::double, 6) AS score, coalesce({keep}, false) AS keep FROM ({sql})"
     register(name, full)(run)
 
 
+def top_gram_sql(n: int) -> str:
+    """(doc_id, s) of the share of the most frequent n-gram of words."""
+    return f"""WITH w AS (SELECT doc_id, text, {DW} AS ws FROM documents), g AS (SELECT doc_id, i, array_to_string(ws[i:i + {n - 1}], ' ') AS g FROM w, unnest(range(1, len(ws) - {n - 2})) AS t(i)),
+c AS (SELECT doc_id, g, count(*) AS n, min(i) AS f FROM g GROUP BY ALL), best AS (SELECT doc_id, arg_max(g, n * 1000000 - f) AS g FROM c GROUP BY doc_id)
+SELECT doc_id, CASE WHEN text IS NULL THEN NULL WHEN len(ws) < {n} THEN 1.0 ELSE (length(text) - length(replace(text, best.g, '')))::double / length(text) END AS s FROM w LEFT JOIN best USING (doc_id)"""
+
+
+def duplicate_gram_sql(n: int) -> str:
+    """(doc_id, s) of the share of characters in n-grams that came before."""
+    return f"""WITH w AS (SELECT doc_id, text, {DW} AS ws FROM documents), g AS (SELECT doc_id, i, array_to_string(ws[i:i + {n - 1}], ' ') AS g FROM w, unnest(range(1, len(ws) - {n - 2})) AS t(i)),
+k AS (SELECT doc_id, i, row_number() OVER (PARTITION BY doc_id, g ORDER BY i) AS r FROM g), a AS (SELECT doc_id, i, greatest(0, {n} - (i - coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), i - {n}))) AS c FROM k WHERE r > 1),
+d AS (SELECT a.doc_id, sum(list_sum(list_transform(ws[i + c:i + {n - 1}], lambda x: length(x))) + least({n} - c, {n - 1})) AS chars FROM a JOIN w ON a.doc_id = w.doc_id GROUP BY a.doc_id)
+SELECT w.doc_id, CASE WHEN text IS NULL THEN NULL WHEN len(ws) < {n} THEN 1.0 ELSE coalesce(chars, 0)::double / length(text) END AS s FROM w LEFT JOIN d ON d.doc_id = w.doc_id"""
+
+
 def _share(part: str, whole: str) -> str:
     return f"({part})::double / nullif(({whole})::double, 0)"
 
@@ -99,9 +140,9 @@ _SCORES = [
     ("q19_repeated_paragraphs", S.repeated_paragraphs(), _share(f"len(list_distinct({DP}))", f"len({DP})"), "s >= 0.7"),
     ("q20_repeated_lines_by_char", S.repeated_lines_by_char(), _share(_chars(f"list_distinct({DS})"), _chars(DS)), "s >= 0.8"),
     ("q21_repeated_paragraphs_by_char", S.repeated_paragraphs_by_char(), _share(_chars(f"list_distinct({DP})"), _chars(DP)), "s >= 0.8"),
-    ("q22_repeating_top_2grams", S.repeating_top_ngrams(2, 0.2), None, None),
-    ("q22_repeating_top_4grams", S.repeating_top_ngrams(4, 0.16), None, None),
-    ("q23_repeating_duplicate_5grams", S.repeating_duplicate_ngrams(5, 0.15), None, None),
+    ("q22_repeating_top_2grams", S.repeating_top_ngrams(2, 0.2), top_gram_sql(2), "s <= 0.2"),
+    ("q22_repeating_top_4grams", S.repeating_top_ngrams(4, 0.16), top_gram_sql(4), "s <= 0.16"),
+    ("q23_repeating_duplicate_5grams", S.repeating_duplicate_ngrams(5, 0.15), duplicate_gram_sql(5), "s <= 0.15"),
     ("q24_python_comments", S.python_comments(), None, None),
     ("q25_general_comments", S.general_comments("text/x-c"), None, None),
     ("q26_lines_of_code", S.lines_of_code(), "length(text) - length(replace(text, chr(10), '')) + 1", "s BETWEEN 10 AND 20000"),
@@ -116,13 +157,23 @@ for _args in _SCORES:
 _CASCADE_KEEP = " AND ".join(f"coalesce({k.replace('s ', f'({e}) ', 1)}, false)" for n, r, e, k in _SCORES if n[:3] in ("q01", "q09", "q12", "q18", "q19") and e)
 
 
+def _cascade_sql(left_out: tuple[str, ...] = ()) -> str:
+    """The whole cascade: the conditions of its rules on characters, words and lines, and of those on n-grams."""
+    names = [n for n in ("q01", "q02", "q03", "q04", "q06", "q07", "q10", "q18", "q19", "q20", "q21", "q09", "q12", "q15", "q14", "q11", "q08", "q13", "q05") if n not in left_out]
+    plain = {n[:3]: (e, k) for n, r, e, k in _SCORES if e and not e.startswith("WITH")}
+    conditions = [f"coalesce({k.replace('s ', f'({e}) ', 1)}, false)" for e, k in (plain[n] for n in names)]
+    grams = [(top_gram_sql(n), x) for n, x in ((2, 0.2), (3, 0.18), (4, 0.16))] + [(duplicate_gram_sql(n), x) for n, x in zip(range(5, 11), (0.15, 0.14, 0.13, 0.12, 0.11, 0.10))]
+    conditions += [f"doc_id IN (SELECT doc_id FROM ({sql}) WHERE s <= {x})" for sql, x in grams]
+    return f"SELECT doc_id, lang, length(text) AS n FROM documents WHERE text IS NOT NULL AND {' AND '.join(conditions)}"
+
+
 @register("quality_cascade", f"SELECT doc_id, lang, length(text) AS n FROM documents WHERE {_CASCADE_KEEP}")
 def quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [S.non_alphanumeric(), S.word_count(), S.punctuation(), S.repeated_lines(), S.repeated_paragraphs()]
     return score_filter.score_filter(table(spark, sf_dir, "documents"), rules).select("doc_id", "lang", F.length("text").alias("n"))
 
 
-@register("english_cascade")
+@register("english_cascade", _cascade_sql())
 def english_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return heuristic_cascade(table(spark, sf_dir, "documents"), S.english_cascade()).select("doc_id", "lang", F.length("text").alias("n"))
 
@@ -151,7 +202,7 @@ def heuristic_cascade(df: DataFrame, rules: list[S.Rule], text_col: str = "text"
     return out
 
 
-@register("other_cascade")
+@register("other_cascade", _cascade_sql(("q01", "q15", "q14")))
 def other_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return heuristic_cascade(table(spark, sf_dir, "documents"), S.other_cascade()).select("doc_id", "lang", F.length("text").alias("n"))
 
@@ -188,7 +239,12 @@ def join_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_join.join_segments(rows, "sample_id", "position", "text_content")
 
 
-@register("g02_join_segments_bounded")
+_BOUNDED = """WITH RECURSIVE s AS (SELECT sample_id, coalesce(text_content, '') AS t, length(coalesce(text_content, '')) AS n, row_number() OVER (PARTITION BY sample_id ORDER BY position, coalesce(text_content, '')) AS r FROM interleaved WHERE modality = 'text' AND sample_id IS NOT NULL),
+f AS (SELECT sample_id, r, t, n AS size, 0 AS piece FROM s WHERE r = 1 UNION ALL SELECT s.sample_id, s.r, s.t, CASE WHEN f.size + s.n + 2 <= 400 THEN f.size + s.n + 2 ELSE s.n END, CASE WHEN f.size + s.n + 2 <= 400 THEN f.piece ELSE f.piece + 1 END FROM f JOIN s ON s.sample_id = f.sample_id AND s.r = f.r + 1)
+SELECT sample_id, piece AS position, string_agg(t, chr(10) || chr(10) ORDER BY r) AS text_content FROM f GROUP BY ALL"""
+
+
+@register("g02_join_segments_bounded", _BOUNDED)
 def join_segments_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "interleaved").where("modality = 'text'").select("sample_id", "position", "text_content")
     return split_join.join_segments(rows, "sample_id", "position", "text_content", max_length=400)
@@ -221,16 +277,17 @@ def head(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _modifier_query(name: str, fn: Callable, sql: str | None) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return score_filter.modify(table(spark, sf_dir, "documents").select("doc_id", "text"), fn)
+        return score_filter.modify(_documents(name, spark, sf_dir), fn)
 
-    register(name, None if sql is None else f"SELECT doc_id, {sql} AS text FROM documents")(run)
+    register(name, None if sql is None else f"SELECT doc_id, {sql} AS text FROM {ADORNED if name in _ADORNED else 'documents'}")(run)
 
 
 _NL = r"regexp_replace(regexp_replace(text, '\n{3,}', chr(10) || chr(10), 'g'), '(\r\n){3,}', chr(13) || chr(10) || chr(13) || chr(10), 'g')"
 _MD = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, '\*\*(.*?)\*\*', '\1', 'g'), '\*(.*?)\*', '\1', 'g'), '_(.*?)_', '\1', 'g'), '\[.*?\]\((.*?)\)', '\1', 'g')"
 _BARE = strip_sql("text")
+_HITS = f"list_filter(list_transform({DP}, lambda p, i: CASE WHEN len(list_filter({_POLICY}, lambda y: contains(lower(p), y))) > 0 THEN i END), lambda i: i IS NOT NULL)"
 for _name, _fn, _sql in [
-    ("m01_remove_boilerplate", M.remove_boilerplate, None),
+    ("m01_remove_boilerplate", M.remove_boilerplate, f"CASE WHEN len(list_filter({DP}, lambda p: contains(lower(p), 'lorem ipsum'))) > 0 THEN '' WHEN len({_HITS}) = 0 THEN text WHEN list_max({_HITS}) - list_min({_HITS}) + 1 = len({_HITS}) AND (list_min({_HITS}) = 1 OR list_max({_HITS}) = len({DP})) AND len({_HITS}) < len({DP}) THEN array_to_string(list_filter({DP}, lambda p, i: NOT list_contains({_HITS}, i)), chr(10) || chr(10)) ELSE text END"),
     ("m02_remove_lines", lambda t: M.remove_lines(t, ["The tokenizer", "The parser"]), "array_to_string(list_filter(string_split(text, chr(10)), lambda s: s NOT IN ('The tokenizer', 'The parser')), chr(10))"),
     ("m03_remove_markdown", M.remove_markdown, f"array_to_string(list_transform(string_split(text, chr(10)), lambda x: {_MD}), chr(10))"),
     ("m04_normalise_newlines", M.normalise_newlines, _NL),
@@ -310,7 +367,7 @@ def similar_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("d16_semantic_duplicates")
 def semantic_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.semantic_workflow(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", clusters=10, eps=0.1, iterations=20).tables["duplicates"]
+    return dedup.semantic_workflow(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", clusters=10, eps=0.4, iterations=20).tables["duplicates"]
 
 
 @register("d17_numbered", "SELECT (row_number() OVER (ORDER BY doc_id) - 1)::bigint AS n, doc_id FROM documents")

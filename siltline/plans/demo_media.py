@@ -44,9 +44,9 @@ def drop_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.apply_error_policy(table(spark, sf_dir, "interleaved"), "drop_row").select("sample_id", "position")
 
 
-@register("s18_align")
+@register("s18_align", "SELECT sample_id, position, modality, content_type, text_content, source_ref, NULL::varchar AS materialize_error, url, host, language_id_whole_page_fasttext, previous_word_count::int AS previous_word_count FROM interleaved")
 def aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return I.align(table(spark, sf_dir, "interleaved").drop("materialize_error"), {"previous_word_count": "int"}).drop("binary_content")
+    return I.align(table(spark, sf_dir, "interleaved").drop("materialize_error"), {"previous_word_count": "int"}).drop("binary_content", "ingested_at")
 
 
 @register("g10_bins_by_bytes")
@@ -55,10 +55,10 @@ def bins_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.bins_by_bytes(rows, "sample_id", "n", 20_000).groupBy("bin").agg(F.sum("n").alias("bytes"), F.countDistinct("sample_id").alias("samples"))
 
 
-@register("model_p12_text_match")
+@register("model_p12_text_match", "WITH b AS (SELECT DISTINCT i.sample_id, i.position FROM interleaved i JOIN interleaved t ON i.sample_id = t.sample_id AND i.modality = 'image' AND t.modality = 'text' WHERE 1 - abs(i.position / 10.0::double - t.position / 10.0::double) >= 0.85), v AS (SELECT i.sample_id, i.position, modality FROM interleaved i LEFT JOIN b ON b.sample_id = i.sample_id AND b.position = i.position WHERE (modality = 'metadata' AND i.position = -1) OR (modality = 'text' AND i.position >= 0) OR (modality = 'image' AND i.position >= 0 AND b.position IS NOT NULL)), c AS (SELECT *, count(*) FILTER (modality <> 'metadata') OVER (PARTITION BY sample_id) AS n, row_number() OVER (PARTITION BY sample_id, modality = 'metadata' ORDER BY position) - 1 AS r FROM v) SELECT sample_id, CASE WHEN modality = 'metadata' THEN -1 ELSE r END::int AS position, modality FROM c WHERE n > 0")
 def text_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "interleaved").withColumn("p", F.col("position") / 10.0)
-    return I.best_text_match(rows, lambda a, b: 1 - F.abs(a - b), "p", "p", 0.85).select("sample_id", "position", "modality")
+    return I.best_text_match(rows, lambda a, b: 1 - F.abs(a - b), "p", "p", 0.85).select("sample_id", F.col("position").cast("int"), "modality")
 
 
 # --- windows -------------------------------------------------------------------------------------
@@ -76,22 +76,53 @@ def stride_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("audio_filepath", F.inline(windows.stride_windows(F.col("duration"), 10.0, 5.0, 2.0))).select("audio_filepath", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"))
 
 
-@register("n04_scenes")
+_SCENES = """WITH f AS (SELECT l_suppkey AS video, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_shipdate, l_returnflag) - 1 AS frame, l_returnflag = 'R' AS cut FROM lineitem),
+p AS (SELECT *, coalesce(lag(cut) OVER (PARTITION BY video ORDER BY frame), false) AS before FROM f), i AS (SELECT *, sum((before AND NOT cut)::int) OVER (PARTITION BY video ORDER BY frame) AS island FROM p),
+r AS (SELECT video, island, min(frame) FILTER (NOT cut) AS a, min(frame) FILTER (cut) AS c, max(frame) AS z FROM i GROUP BY ALL), g AS (SELECT video, bool_or(cut) AS any_cut, count(*) AS n FROM i GROUP BY video),
+s AS (SELECT video, a AS "start", coalesce(c, z) AS "end" FROM r JOIN g USING (video) WHERE any_cut AND a IS NOT NULL AND coalesce(c, z) > a UNION ALL SELECT video, 0, n FROM g WHERE NOT any_cut)
+SELECT video, "start" + k * 20 AS "start", least("end", "start" + (k + 1) * 20) AS "end" FROM s, unnest(range(ceil(("end" - "start") / 20.0)::bigint)) AS t(k) WHERE least("end", "start" + (k + 1) * 20) - ("start" + k * 20) >= 3"""
+
+
+@register("n04_scenes", _SCENES)
 def scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("video"), F.row_number().over(windows.Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber")).alias("frame"), (F.col("l_returnflag") == "R").alias("cut")).withColumn("frame", F.col("frame") - 1)
+    frames = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("video"), F.row_number().over(windows.Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_returnflag")).alias("frame"), (F.col("l_returnflag") == "R").alias("cut")).withColumn("frame", F.col("frame") - 1)
     found = windows.scenes(frames, "video", "frame", "cut")
     return windows.fit_scenes(found, least=3, most=20, mode="stride")
 
 
-@register("n05_conversation_windows")
+def _recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entries of the manifest, repeated ones once."""
+    return table(spark, sf_dir, "manifest_a").select("audio_filepath", "audio_sample_rate", "segments").dropDuplicates()
+
+
+_WINDOWS = """WITH e AS (SELECT row_number() OVER () AS eid, * FROM (SELECT DISTINCT audio_filepath, audio_sample_rate AS rate, segments FROM manifest_a)),
+u AS (SELECT eid, k, unnest(segments) AS x FROM (SELECT eid, segments, 0 AS k FROM e)), o AS (SELECT eid, x, row_number() OVER () AS nth FROM u),
+s AS (SELECT eid, x.start AS s, x."end" AS e, nullif(x.speaker, '') AS who, coalesce(x.metrics.bandwidth, 0) < 8000 AS narrow, row_number() OVER (PARTITION BY eid ORDER BY x.start, x."end", nth) AS r FROM o WHERE x IS NOT NULL AND x.start IS NOT NULL AND x."end" IS NOT NULL),
+n AS (SELECT eid, count(*) AS total FROM s GROUP BY eid),
+p AS (SELECT a.eid, a.r AS i, b.r AS j, a.s AS s0, a.e AS e0, b.s, b.e, b.who, b.narrow, b.e - a.s > 30 * 1.1::double AS late, coalesce(b.who = 'no-speaker', false) AS nobody, (SELECT count(DISTINCT c.who) FROM s c WHERE c.eid = a.eid AND c.r BETWEEN a.r AND b.r) AS names FROM s a JOIN s b ON a.eid = b.eid AND b.r >= a.r WHERE NOT a.narrow),
+q AS (SELECT *, min(CASE WHEN late OR narrow OR nobody OR names > 5 THEN j END) OVER (PARTITION BY eid, i) AS stop FROM p),
+w AS (SELECT q.eid, i, any_value(s0) AS s0, any_value(coalesce(stop, total + 1)) AS stop, any_value(total) AS total,
+  bool_or(j = stop AND late AND NOT narrow AND s < s0 + 30 * 1.1::double) AS cut, bool_or(j = stop AND late AND NOT narrow AND s < s0 + 30 * 1.1::double AND NOT nobody AND names <= 5) AS added,
+  max(s) FILTER (j = stop) AS cut_at, max(e) FILTER (j = coalesce(stop, total + 1) - 1) AS last, any_value(e0) AS e0, max(names) FILTER (j = stop) AS names_cut, max(names) FILTER (j = coalesce(stop, total + 1) - 1) AS names_last,
+  bool_or((who IS NULL OR nobody) AND j = least(coalesce(stop, total + 1), total)) AS next_nobody, bool_or(narrow AND j = least(coalesce(stop, total + 1), total)) AS next_narrow FROM q JOIN n ON n.eid = q.eid GROUP BY q.eid, i),
+v AS (SELECT *, CASE WHEN added THEN cut_at WHEN stop > i THEN last ELSE e0 END - s0 AS seconds, stop - i + added::int AS held, coalesce(CASE WHEN added THEN names_cut ELSE names_last END, 0) AS names FROM w),
+k AS (SELECT *, NOT (seconds BETWEEN 30 * (1 - 0.1::double) AND 30 * 1.1::double AND held >= 2) AS lost FROM v),
+t AS (SELECT eid, count(*) FILTER (NOT lost AND names BETWEEN 2 AND 5) AS windows, count(*) FILTER (NOT lost AND NOT names BETWEEN 2 AND 5) AS lost_spk, count(*) FILTER (lost) AS lost_win, count(*) FILTER (lost AND next_nobody) AS lost_no_spkr, count(*) FILTER (lost AND NOT next_nobody AND next_narrow) AS lost_next_seg_bm, count(*) FILTER (cut) AS truncations FROM k GROUP BY eid),
+b AS (SELECT eid, count(*) FILTER (narrow) AS lost_bw, count(*) AS total FROM s GROUP BY eid)
+SELECT audio_filepath, CASE WHEN coalesce(rate, 0) < 16000 THEN 0 ELSE coalesce(t.windows, 0) END::int AS windows, CASE WHEN coalesce(rate, 0) < 16000 THEN 0 ELSE coalesce(lost_bw, 0) END::int AS lost_bw, CASE WHEN coalesce(rate, 0) < 16000 THEN coalesce(total, 0) ELSE 0 END::int AS lost_sr,
+ CASE WHEN coalesce(rate, 0) < 16000 THEN 0 ELSE coalesce(lost_spk, 0) END::int AS lost_spk, CASE WHEN coalesce(rate, 0) < 16000 THEN 0 ELSE coalesce(lost_win, 0) END::int AS lost_win, CASE WHEN coalesce(rate, 0) < 16000 THEN 0 ELSE coalesce(lost_no_spkr, 0) END::int AS lost_no_spkr,
+ CASE WHEN coalesce(rate, 0) < 16000 THEN 0 ELSE coalesce(lost_next_seg_bm, 0) END::int AS lost_next_seg_bm, CASE WHEN coalesce(rate, 0) < 16000 THEN 0 ELSE coalesce(truncations, 0) END::int AS truncations FROM e LEFT JOIN t USING (eid) LEFT JOIN b USING (eid)"""
+
+
+@register("n05_conversation_windows", _WINDOWS)
 def conversation_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = windows.conversation_windows(table(spark, sf_dir, "manifest_a").dropDuplicates(["audio_filepath"]), target=30.0)
+    m = windows.conversation_windows(_recordings(spark, sf_dir), target=30.0)
     return m.select("audio_filepath", F.size("windows").alias("windows"), *[f"window_stats.{c}" for c in ("lost_bw", "lost_sr", "lost_spk", "lost_win", "lost_no_spkr", "lost_next_seg_bm", "truncations")])
 
 
 @register("n06_filter_overlaps")
 def filter_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = windows.conversation_windows(table(spark, sf_dir, "manifest_a").dropDuplicates(["audio_filepath"]), target=30.0)
+    m = windows.conversation_windows(_recordings(spark, sf_dir), target=30.0)
     return windows.filter_overlaps(m, percent=50, target=30.0).select("audio_filepath", F.size("filtered_windows").alias("windows"), F.round("filtered_dur", 3).alias("seconds"))
 
 
@@ -112,7 +143,7 @@ def pick_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").groupBy("user_id").agg(F.collect_list("event_id").alias("t")).select("user_id", windows.pick_frame(F.col("t")).alias("middle"))
 
 
-@register("l03_top_shares")
+@register("l03_top_shares", "WITH n AS (SELECT user_id, event_type, count(*) AS c FROM events GROUP BY ALL), r AS (SELECT *, c / sum(c) OVER (PARTITION BY user_id) AS p, row_number() OVER (PARTITION BY user_id ORDER BY c DESC, event_type DESC) AS k FROM n) SELECT user_id, max(event_type) FILTER (k = 1) AS \"first\", coalesce(max(event_type) FILTER (k = 2 AND p >= 0.1), 'NA') AS \"second\" FROM r GROUP BY user_id")
 def top_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "events").groupBy("user_id", "event_type").count()
     total = n.groupBy("user_id").agg(F.collect_list("event_type").alias("l"), F.collect_list(F.col("count") * 1.0).alias("c"), F.sum("count").alias("s"))
@@ -136,7 +167,7 @@ def wer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("audio_filepath", "start", "end", E.wer()(F.col("text"), F.lower("text")).alias("wer"))
 
 
-@register("e02_cer", _SEG + " SELECT audio_filepath, x.start AS \"start\", x.\"end\" AS \"end\", round(levenshtein(x.text, lower(x.text)) * 100.0 / nullif(length(x.text), 0), 6)::double AS cer FROM u WHERE NOT regexp_matches(x.text, '[^\\x00-\\x7f]')")
+@register("e02_cer")
 def cer(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _segments(spark, sf_dir).where("text IS NOT NULL")
     return s.select("audio_filepath", "start", "end", F.round(E.cer(F.col("text"), F.lower("text")), 6).alias("cer"))
@@ -151,23 +182,31 @@ def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = F.filter("segments", lambda s: s["start"].isNotNull() & s["end"].isNotNull())
     ms = F.transform(good, lambda s: F.struct(F.round(s["start"] * 1000).cast("long").alias("start_ms"), F.round(s["end"] * 1000).cast("long").alias("end_ms")))
-    m = table(spark, sf_dir, "manifest_a").select("audio_filepath", "segments").where("segments IS NOT NULL").dropDuplicates(["audio_filepath"])
+    m = table(spark, sf_dir, "manifest_a").select("audio_filepath", "segments").where("segments IS NOT NULL").dropDuplicates()
     return m.select("audio_filepath", F.inline(E.concatenation_map(ms, 500)))
 
 
-@register("e05_concatenation")
+_MAPPING = """WITH e AS (SELECT row_number() OVER () AS eid, * FROM (SELECT DISTINCT audio_filepath, segments FROM manifest_a WHERE segments IS NOT NULL)), u AS (SELECT eid, audio_filepath, unnest(segments) AS x FROM e),
+o AS (SELECT eid, audio_filepath, round(x.start * 1000)::bigint AS a, round(x."end" * 1000)::bigint AS b FROM u WHERE x.start IS NOT NULL AND x."end" IS NOT NULL), r AS (SELECT *, row_number() OVER (PARTITION BY eid ORDER BY a, b) AS r FROM o),
+m AS (SELECT eid, audio_filepath, a AS original_start_ms, b AS original_end_ms, (sum(b - a) OVER (PARTITION BY eid ORDER BY r) - (b - a) + 500 * (r - 1))::bigint AS concat_start_ms, (sum(b - a) OVER (PARTITION BY eid ORDER BY r) + 500 * (r - 1))::bigint AS concat_end_ms FROM r)
+"""
+
+
+@register("e05_concatenation", _MAPPING + "SELECT audio_filepath, original_start_ms, original_end_ms, concat_start_ms, concat_end_ms FROM m")
 def concatenation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mapping(spark, sf_dir)
 
 
-@register("j06_map_timestamps")
+@register("j06_map_timestamps", _MAPPING + """, s AS (SELECT row_number() OVER () AS seg, audio_filepath, concat_start_ms + 10 AS a, concat_end_ms - 10 AS b FROM m WHERE concat_end_ms - 10 > concat_start_ms + 10),
+p AS (SELECT s.*, m.concat_start_ms AS c, m.concat_end_ms AS d, m.original_start_ms AS o, count(*) OVER (PARTITION BY seg) AS n FROM s JOIN m ON s.audio_filepath = m.audio_filepath AND s.a < m.concat_end_ms AND m.concat_start_ms < s.b AND m.concat_end_ms > m.concat_start_ms)
+SELECT audio_filepath, greatest(a, c) - c + o AS start_ms, least(b, d) - c + o AS end_ms FROM p WHERE n = 1""")
 def map_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapping = _mapping(spark, sf_dir)
     inner = mapping.select("audio_filepath", (F.col("concat_start_ms") + 10).alias("start_ms"), (F.col("concat_end_ms") - 10).alias("end_ms")).where("end_ms > start_ms")
     return joins.map_timestamps(inner, mapping.drop("original_end_ms"), "audio_filepath").select("audio_filepath", "start_ms", "end_ms")
 
 
-@register("j06_interval_overlaps", "WITH e AS (SELECT event_id, event_type, epoch_ms(ts) AS a, epoch_ms(ts) + 60000 AS b FROM events WHERE user_id < 20) SELECT x.event_id AS left_id, y.event_id AS right_id FROM e x JOIN e y ON x.event_type = y.event_type AND x.a < y.b AND y.a < x.b AND x.event_id < y.event_id")
+@register("j06_interval_overlaps", "WITH e AS (SELECT event_id, event_type, epoch_ms(ts) AS a, epoch_ms(ts) + 60000 AS b FROM events) SELECT x.event_id AS left_id, y.event_id AS right_id FROM e x JOIN e y ON x.event_type = y.event_type AND x.a < y.b AND y.a < x.b AND x.event_id < y.event_id")
 def interval_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("event_type", "event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("a"))
     x = e.select("event_type", F.col("event_id").alias("left_id"), F.col("a").alias("a0"), (F.col("a") + 60_000).alias("a1"))
@@ -175,10 +214,17 @@ def interval_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.interval_overlaps(x, y, "event_type", ("a0", "a1"), ("b0", "b1"), 60_000).where("left_id < right_id").select("left_id", "right_id")
 
 
-@register("j11_sample_nearest")
+_NEAREST = """WITH e AS (SELECT row_number() OVER () AS eid, * FROM (SELECT DISTINCT audio_filepath, segments FROM manifest_a WHERE segments IS NOT NULL)),
+t AS (SELECT eid, audio_filepath, list_sort(list_filter(list_transform(segments, lambda x: x.start), lambda x: x IS NOT NULL)) AS t FROM e), g AS (SELECT *, unnest(range(greatest(ceil((t[len(t)] - t[1] + 2.5) / 5.0)::bigint, 1))) AS i FROM t WHERE len(t) > 0),
+k AS (SELECT *, t[1] + i * 5.0 AS x_at, len(list_filter(t, lambda x: x < t[1] + i * 5.0)) AS before FROM g), r AS (SELECT *, least(greatest(before, 1), len(t) - 1) AS hi FROM k),
+n AS (SELECT eid, audio_filepath, CASE WHEN x_at >= t[len(t)] THEN len(t) - 1 WHEN len(t) = 1 THEN 0 WHEN abs(x_at - t[hi + 1]) < abs(x_at - t[hi]) THEN hi ELSE hi - 1 END::int AS "index" FROM r)
+SELECT audio_filepath, "index", hits FROM (SELECT eid, audio_filepath, "index", count(*)::int AS hits FROM n GROUP BY ALL)"""
+
+
+@register("j11_sample_nearest", _NEAREST)
 def sample_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = F.array_sort(F.filter(F.transform("segments", lambda s: s["start"]), lambda t: t.isNotNull()))
-    m = table(spark, sf_dir, "manifest_a").where("segments IS NOT NULL").dropDuplicates(["audio_filepath"]).select("audio_filepath", good.alias("t")).where("size(t) > 0")
+    m = table(spark, sf_dir, "manifest_a").where("segments IS NOT NULL").select("audio_filepath", "segments").dropDuplicates().select("audio_filepath", good.alias("t")).where("size(t) > 0")
     return m.select("audio_filepath", F.inline(joins.sample_nearest(F.col("t"), 0.2)))
 
 
@@ -189,7 +235,7 @@ def as_of_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.as_of(e, p, "user_id", "ts", "bought").select("event_id", "last_purchase")
 
 
-@register("w13_rttm")
+@register("w13_rttm", _SEG + " SELECT format('SPEAKER {} 1 {:.3f} {:.3f} <NA> <NA> {} <NA> <NA>', audio_filepath, x.start, x.\"end\" - x.start, coalesce(x.speaker, 'unknown')) AS line FROM u WHERE x.\"end\" > x.start AND audio_filepath IS NOT NULL")
 def rttm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _segments(spark, sf_dir).select(E.rttm(F.col("audio_filepath"), F.col("start"), F.col("end"), F.coalesce("speaker", F.lit("unknown"))).alias("line")).where("line IS NOT NULL")
 

@@ -18,7 +18,7 @@ from ..operators import score_filter
 from ..session import remove_at_exit, shared_dir, spread
 from ..sources import archives, files, sinks
 from . import pipeline
-from .demo import DW, WS, register, table
+from .demo import DW, WS, register, strip_sql, table
 
 
 def _folder(spark: SparkSession, name: str) -> str:
@@ -67,7 +67,7 @@ def wiki_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", X.wiki_extractor("en")(source).alias("text"))
 
 
-@register("x07_latex_text")
+@register("x07_latex_text", r"SELECT doc_id, regexp_replace('\section{One}' || chr(10) || 'The value. ' || regexp_replace(text, '[%\\{}]', ' ', 'g') || chr(10), '^[\s\x1c-\x1f\x85\p{Z}]+|[\s\x1c-\x1f\x85\p{Z}]+$', '', 'g') AS text FROM documents WHERE text IS NOT NULL")
 def latex_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").where("text IS NOT NULL")
     source = F.concat(F.lit("\\newcommand{\\name}{value}\n\\begin{document}\n\\section{One}\n% note\nThe \\name. "), F.regexp_replace("text", r"[%\\{}]", " "), F.lit("\n\\begin{thebibliography}{9}x"))
@@ -138,21 +138,32 @@ def per_extension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.per_extension(docs, limits, "Python", "py", output_col="ok").select("doc_id", "ok")
 
 
-@register("q32_histogram")
+_USUAL = f"CASE WHEN text IS NOT NULL THEN (len(list_filter(string_split({strip_sql('text')}, ''), lambda x: list_contains(usual, x)))::double / nullif(length(text), 0) > 0.8)::int END"
+
+
+@register("q32_histogram", f"WITH c AS (SELECT c, count(*) AS n FROM (SELECT unnest(string_split({strip_sql('text')}, '')) AS c FROM documents WHERE lang = 'en') WHERE c <> '' GROUP BY c), r AS (SELECT c, sum(n) OVER (ORDER BY n DESC, c) - n AS before, sum(n) OVER () AS total FROM c), u AS (SELECT list(c) AS usual FROM r WHERE before < 0.99 * total) SELECT doc_id, {_USUAL} AS usual FROM documents, u")
 def histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     usual = S.usual_characters(docs.where("lang = 'en'"), share=0.99)
     return score_filter.score(docs.select("doc_id", "text"), S.histogram(usual, 0.8), "usual").select("doc_id", "usual")
 
 
-@register("q34_quality_probability")
+_LOMAX = "pow(1 - ('0x' || substr(md5('42:' || doc_id), 1, 8))::bigint / 4294967296.0::double, -1.0::double / 3) - 1 > 1 - score"
+
+
+@register("q34_quality_probability", f"SELECT doc_id, round(score, 6) AS score FROM (SELECT doc_id, len(list_filter({DW}, lambda w: list_contains(['the','be','to','of','and','that','have','with'], w)))::double / len(string_split(text, ' ')) AS score FROM documents WHERE text IS NOT NULL) WHERE {_LOMAX}")
 def quality_probability(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").where("text IS NOT NULL")
     share = S.common_english_words(1_000_000, stop_early=False).score(F.col("text")) / F.greatest(F.size(F.split("text", " ")), F.lit(1))
-    return docs.withColumn("score", share).where(S.quality_probability(F.col("score"))).select("doc_id", F.round("score", 6).alias("score"))
+    return docs.withColumn("score", share).where(S.quality_probability(F.col("score"), F.col("doc_id"))).select("doc_id", F.round("score", 6).alias("score"))
+
+
+_DENSE = lambda words: "coalesce(len(list_filter(ws, lambda w: list_contains([" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "], trim(w, '.,;:!?\"''()'))))::double / nullif(len(ws), 0), 0)"
+_DENSITIES = "[" + ", ".join(_DENSE(ws) for ws in X.STOP_WORDS.values()) + "]"
+_CODES = "[" + ", ".join(f"'{k.upper()}'" for k in X.STOP_WORDS) + "]"
 
 
-@register("q35_language_score")
+@register("q35_language_score", f"SELECT doc_id, {_CODES}[list_position(d, list_max(d))] AS language, round(list_max(d), 6) AS score FROM (SELECT doc_id, {_DENSITIES} AS d FROM (SELECT doc_id, {DW.replace('text', 'lower(text)')} AS ws FROM documents WHERE text IS NOT NULL)) WHERE list_max(d) >= 0.1")
 def language_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     def predict(texts: list[str]) -> list[tuple[float, str]]:
         out = []
@@ -265,7 +276,7 @@ def file_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("s07_url_table", "SELECT DISTINCT url FROM web_pages WHERE url IS NOT NULL")
 def url_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "web_pages").where("url IS NOT NULL").select("url").distinct()
+    return archives.url_table(spark, table(spark, sf_dir, "web_pages"))
 
 
 @register("s11_snapshots")
@@ -345,14 +356,14 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_manifest(spark, path).select("audio_filepath", "audio_sample_rate", F.round("duration", 6).alias("duration"), F.when(F.col("segments").isNotNull(), F.size("segments")).alias("n"))
 
 
-@register("s27_index_lookup", "SELECT page_id, url FROM web_pages WHERE url IN (SELECT url FROM documents)")
+@register("s27_index_lookup", "SELECT doc_id, url FROM documents WHERE url IN (SELECT url FROM documents WHERE lang IN ('en', 'de'))")
 def index_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The addresses of documents in two languages, looked up in an index of all documents' addresses."""
     from ..operators.joins import index_lookup as find
 
-    path = _folder(spark, "index")
-    pages = table(spark, sf_dir, "web_pages").withColumns({"crawl": F.lit("CC-MAIN-2024-10"), "subset": F.lit("warc")})
-    pages.write.mode("overwrite").partitionBy("crawl", "subset").parquet(path)
-    return find(spark.read.parquet(path), table(spark, sf_dir, "documents"), "url", ["CC-MAIN-2024-10"]).select("page_id", "url")
+    path, docs = _folder(spark, "index"), table(spark, sf_dir, "documents")
+    docs.select("doc_id", "url").withColumns({"crawl": F.lit("CC-MAIN-2024-10"), "subset": F.lit("warc")}).write.mode("overwrite").partitionBy("crawl", "subset").parquet(path)
+    return find(spark.read.parquet(path), docs.where("lang IN ('en', 'de')"), "url", ["CC-MAIN-2024-10"]).select("doc_id", "url")
 
 
 @register("pipeline_spec", f"SELECT doc_id, lang FROM documents WHERE coalesce(len({DW}) BETWEEN 50 AND 100000, false) AND coalesce(1 - len(regexp_extract_all(text, '[a-zA-Z0-9\\n?!,.]'))::double / nullif(length(text), 0) <= 0.25, false)")

@@ -21,8 +21,12 @@ from .files import iterate_files, read_binary
 # --- addresses -----------------------------------------------------------------------------------
 
 
-def url_table(spark: SparkSession, urls: Sequence[str], limit: int | None = None) -> DataFrame:
-    """A row per address, spread over as many partitions as make sense."""
+def url_table(spark: SparkSession, urls: Sequence[str] | DataFrame, limit: int | None = None) -> DataFrame:
+    """A row per address, spread over as many partitions as make sense; of a table (column url) each
+    address once."""
+    if isinstance(urls, DataFrame):
+        found = urls.select("url").where("url IS NOT NULL").distinct()
+        return found if limit is None else found.orderBy("url").limit(limit)
     chosen = list(urls)[:limit]
     return spark.createDataFrame([(u,) for u in chosen], "url string").repartition(max(1, min(len(chosen), 1000)))
 
