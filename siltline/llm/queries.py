@@ -97,6 +97,29 @@ reach(id, m) AS (SELECT a, least(a, b) FROM two UNION SELECT two.a, reach.m FROM
 SELECT min(m) AS group_id, id FROM reach GROUP BY id"""
 
 
+_CANON = canon.canonical_sql("documents", "text")
+_LOOKS = rf"WITH c AS (SELECT DISTINCT doc_id, text, canon FROM {_CANON} WHERE doc_id IS NOT NULL AND regexp_matches(canon, '\S')) SELECT DISTINCT least(a.doc_id, b.doc_id) AS doc_lo, greatest(a.doc_id, b.doc_id) AS doc_hi FROM c a JOIN c b ON a.canon = b.canon AND a.text <> b.text AND a.doc_id <> b.doc_id"
+
+
+def _near(size: int, least: float) -> str:
+    """Pairs (a, b) of documents by brute force: all that share a shingle, with the sizes of their sets."""
+    gram = " || ' ' || ".join(f"w[i + {j}]" if j else "w[i]" for j in range(size))
+    return rf"""w AS (SELECT doc_id, regexp_extract_all(lower(canon), '[\p{{L}}\p{{N}}]+') AS w FROM {_CANON} WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= {size} THEN list_distinct(list_transform(range(1, len(w) - {size - 2}), lambda i: {gram})) ELSE [array_to_string(w, ' ')] END) AS g FROM w WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id), c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+near AS (SELECT c.a, c.b FROM c JOIN n x ON x.doc_id = c.a JOIN n y ON y.doc_id = c.b WHERE c.c >= {least} * (x.n + y.n - c.c))"""
+
+
+_NEAR_GROUPS = f"""WITH RECURSIVE {_near(5, 0.8)}, two AS (SELECT a, b FROM near UNION SELECT b, a FROM near),
+reach(id, m) AS (SELECT doc_id, doc_id FROM n UNION SELECT two.a, reach.m FROM reach JOIN two ON two.b = reach.id WHERE reach.m < two.a) SELECT id AS doc_id, min(m) AS group_id FROM reach GROUP BY id"""
+_NEAREST = """WITH v AS (SELECT DISTINCT id, embeddings::double[] AS e FROM vectors WHERE id IS NOT NULL AND len(embeddings) = 64 AND len(list_filter(embeddings, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_max(list_transform(embeddings, lambda x: abs(x))) > 0),
+s AS (SELECT a.id AS q, b.id AS n, list_cosine_similarity(a.e, b.e) AS s FROM v a JOIN v b ON a.id <> b.id), r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY round(s, 6) DESC, n) AS k FROM s)
+SELECT DISTINCT least(q, n) AS id_lo, greatest(q, n) AS id_hi FROM r WHERE k <= 5 AND s >= 0.9"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Where SQL can say it on whole tables; the others are tested against brute force."""
-    return {"p4_found": f"SELECT group_id, id FROM ({_GROUPS}) WHERE group_id < id", "p4_groups": _GROUPS}
+    return {
+        "p2_found": _NEAREST, "p4_found": f"SELECT group_id, id FROM ({_GROUPS}) WHERE group_id < id", "p4_groups": _GROUPS, "p7_found": f"WITH {_near(3, 0.6)} SELECT a AS doc_lo, b AS doc_hi FROM near", "p7_groups": _NEAR_GROUPS,
+        "p10_found": _LOOKS, "p10_canonical": f"SELECT doc_id, canon AS text_canonical FROM {_CANON}",
+    }
