@@ -25,13 +25,14 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import small, staged
 from .canon import canonical
 
 FEATURES = ("letter_share", "log_unit_words", "known_share", "order", "distinct_share", "digit_word_share", "ended_share", "log_words")
@@ -92,41 +93,59 @@ def _words(text: str) -> list[str]:
     return _WORD.findall(canonical(text).lower())
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, n, seen): how often each word without a digit occurs, and in how many texts."""
-    seen, count = Counter(), Counter()
-
-    def made() -> pa.RecordBatch:
-        part = [w for w in count if not any(c.isdigit() for c in w)]
-        return pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([count[w] for w in part], pa.int64()), pa.array([seen[w] for w in part], pa.int64())], ["word", "n", "seen"])
-
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row (codes) per text: the hash of each of its words, 0 for those with a digit; and a row (word, code)
+    per word of the partition."""
+    known: dict[str, int] = {}
     for batch in batches:
+        rows, fresh = [], []
         for text in batch.column(0).to_pylist():
             ws = _words(text)
-            count.update(ws)
-            seen.update(set(ws))
-            if len(count) > 300_000:
-                yield made()
-                seen.clear(), count.clear()
-    yield made()
+            for w in set(ws).difference(known):
+                known[w] = code = 0 if any(c.isdigit() for c in w) else xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) | 1
+                if code:
+                    fresh.append((w, code - (1 << 63)))
+            if ws:
+                rows.append(np.fromiter(map(known.__getitem__, ws), np.uint64, len(ws)).tobytes())
+        if len(known) > 500_000:
+            known.clear()
+        none = [None] * len(rows)
+        yield pa.RecordBatch.from_arrays([pa.array(rows + [None] * len(fresh), pa.binary()), pa.array(none + [w for w, _ in fresh], pa.string()), pa.array(none + [c for _, c in fresh], pa.int64())], ["codes", "word", "code"])
+
+
+def _flat_codes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of all texts, and the text of each."""
+    rows = batch.column(0).to_pylist()
+    return np.frombuffer(b"".join(rows), np.uint64), np.repeat(np.arange(len(rows)), [len(r) // 8 for r in rows])
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(code, n, seen): how often each word without a digit occurs, and in how many texts."""
+    for batch in batches:
+        flat, text = _flat_codes(batch)
+        value, inverse, n = np.unique(flat, return_inverse=True, return_counts=True)
+        seen = np.bincount(np.unique(text * len(value) + inverse) % max(len(value), 1), minlength=len(value))
+        real = value > 0
+        yield pa.RecordBatch.from_arrays([pa.array((value[real] ^ np.uint64(1 << 63)).view(np.int64)), pa.array(n[real]), pa.array(seen[real])], ["code", "n", "seen"])
 
 
 def _count_pairs(common):
     """(a, b, n) as ``Vocabulary`` takes them, of a partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, k = common.value, len(common.value) + 1
+        codes = common.value
+        order, k = np.argsort(codes), len(codes) + 1
         pairs, single, total = np.zeros(k * k, np.int64), np.zeros(k, np.int64), 0
         for batch in batches:
-            lists = [_words(text) for text in batch.column(0).to_pylist()]
-            a = np.fromiter(map(lambda w: ids.get(w, k - 1), chain.from_iterable(lists)), np.int64)
-            if len(a) > 1:
-                both = np.ones(len(a) - 1, bool)
-                cuts = np.cumsum([len(x) for x in lists[:-1]], dtype=np.int64)
-                both[cuts[(cuts > 0) & (cuts < len(a))] - 1] = False  # the next word is in another text
-                pairs += np.bincount((a[:-1] * k + a[1:])[both], minlength=k * k)
-                single += np.bincount(a, minlength=k)
-                total += len(a)
+            flat, text = _flat_codes(batch)
+            if not len(flat) or k == 1:
+                total += len(flat)
+                continue
+            at = np.minimum(np.searchsorted(codes[order], flat), k - 2)
+            a = np.where(codes[order][at] == flat, order[at], k - 1)
+            pairs += np.bincount((a[:-1] * k + a[1:])[text[1:] == text[:-1]], minlength=k * k)
+            single += np.bincount(a, minlength=k)
+            total += len(a)
         at = np.nonzero(pairs)[0]
         at = at[(at // k < k - 1) & (at % k < k - 1)]
         a, b = np.r_[at // k, np.arange(k - 1), -1], np.r_[at % k, np.full(k, -1)]
@@ -136,13 +155,16 @@ def _count_pairs(common):
 
 
 def vocabulary_of(texts: DataFrame) -> Vocabulary:
-    """The vocabulary of all texts, a table of one column without nulls."""
-    counted = texts.mapInArrow(_count_words, "word string, n long, seen long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
-    least = max(KNOWN_IN, KNOWN_SHARE * texts.count())
-    known = [r["word"] for r in counted.where(F.col("seen") >= least).orderBy(F.desc("n"), "word").select("word").collect()]
-    common = texts.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(known[:COMMON])})
-    counts = texts.mapInArrow(_count_pairs(common), "a int, b int, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
-    return Vocabulary(known, list(zip(*(counts[c].to_pylist() for c in ("a", "b", "n")))))
+    """The vocabulary of all texts, a table of one column without nulls.  The texts are taken apart once;
+    both counts read the codes of their words."""
+    coded = staged(texts.mapInArrow(_coded, "codes binary, word string, code long"))
+    codes = coded.where("codes IS NOT NULL").select("codes")
+    counted = codes.mapInArrow(_count_words, "code long, n long, seen long").groupBy("code").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
+    often = small(staged(counted.where(F.col("seen") >= max(KNOWN_IN, KNOWN_SHARE * texts.count())).select("code", "n")), 500_000)
+    known = coded.where("word IS NOT NULL").select("word", "code").join(often, "code").distinct().orderBy(F.desc("n"), "word").collect()
+    common = texts.sparkSession.sparkContext.broadcast(np.array([r["code"] for r in known[:COMMON]], np.int64).view(np.uint64) ^ np.uint64(1 << 63))
+    counts = codes.mapInArrow(_count_pairs(common), "a int, b int, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
+    return Vocabulary([r["word"] for r in known], list(zip(*(counts[c].to_pylist() for c in ("a", "b", "n")))))
 
 
 class TokenIds(dict):
