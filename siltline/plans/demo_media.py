@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import metrics as E
 from ..functions import models
 from ..operators import interleaved as I
-from ..operators import joins, windows
+from ..operators import joins, media, windows
 from .demo import DW, register, table
 
 # --- interleaved ---------------------------------------------------------------------------------
@@ -61,6 +61,56 @@ def text_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.best_text_match(rows, lambda a, b: 1 - F.abs(a - b), "p", "p", 0.85).select("sample_id", F.col("position").cast("int"), "modality")
 
 
+def _pictures(spark: SparkSession, sf_dir: str, width, pattern) -> DataFrame:
+    """The pages with pictures of a width and a pattern that depend on the position."""
+    size = (width * 20).cast("int")
+    picture = F.concat(F.encode(F.concat(F.lit("P5\n"), width.cast("string"), F.lit(" 20\n255\n")), "UTF-8"), F.unhex(F.expr("repeat(__pattern, __size)")))
+    rows = table(spark, sf_dir, "interleaved").withColumns({"__pattern": pattern, "__size": (size / 2).cast("int")})
+    return rows.withColumn("binary_content", F.when(F.col("modality") == "image", picture)).drop("__pattern", "__size")
+
+
+def _kept_sql(condition: str) -> str:
+    return f"WITH v AS (SELECT sample_id, position, modality FROM interleaved WHERE (modality = 'metadata' AND position = -1) OR (modality = 'text' AND position >= 0) OR (modality = 'image' AND position >= 0 AND {condition})), c AS (SELECT *, count(*) FILTER (modality <> 'metadata') OVER (PARTITION BY sample_id) AS n, row_number() OVER (PARTITION BY sample_id, modality = 'metadata' ORDER BY position) - 1 AS r FROM v) SELECT sample_id, CASE WHEN modality = 'metadata' THEN -1 ELSE r END::int AS position, modality FROM c WHERE n > 0"
+
+
+@register("model_p12_aspect_ratio", _kept_sql("(10 + 5 * (position % 7)) / 20.0 BETWEEN 1 AND 2"))
+def aspect_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.aspect_ratio_filter(_pictures(spark, sf_dir, 10 + 5 * (F.col("position") % 7), F.lit("0000"))).select("sample_id", F.col("position").cast("int"), "modality")
+
+
+@register("model_p12_blur", _kept_sql("position % 2 = 0"))
+def blur(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.blur_filter(_pictures(spark, sf_dir, F.lit(20), F.when(F.col("position") % 2 == 0, "00FF").otherwise("8080"))).select("sample_id", F.col("position").cast("int"), "modality")
+
+
+@register("model_p12_codes", _kept_sql("true"))
+def codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.code_filter(_pictures(spark, sf_dir, F.lit(20), F.lit("00FF"))).select("sample_id", F.col("position").cast("int"), "modality")
+
+
+@register("r13_to_documents", "SELECT sample_id, source_ref, url FROM interleaved WHERE modality = 'image'")
+def to_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.to_documents(table(spark, sf_dir, "interleaved").where("modality = 'image'"), ["sample_id", "source_ref", "url"])
+
+
+_CLIPS = "SELECT l_suppkey AS video, l_tax > 0.02 AS passed, l_discount > 0.05 AS filtered_by_motion, l_quantity AS duration FROM lineitem"
+
+
+@register("g07_clip_stats", f"SELECT video, sum(filtered_by_motion::int)::bigint AS num_filtered_by_motion, sum(passed::int)::bigint AS num_passed, sum(duration) AS total_clip_duration, max(duration) AS max_clip_duration FROM ({_CLIPS}) GROUP BY video")
+def clip_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clips = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("video"), (F.col("l_tax") > 0.02).alias("passed"), (F.col("l_discount") > 0.05).alias("filtered_by_motion"), F.col("l_quantity").alias("duration"))
+    return media.combine_stats(media.clip_stats(clips.withColumn("part", F.col("duration") > 25), ["video", "part"]).drop("part"), ["video"])
+
+
+@register("w09_clips", "SELECT user_id AS video, sum((event_type = 'purchase')::int)::bigint AS num_passed, count(props)::bigint AS num_transcoded, 0::bigint AS num_with_embeddings, 0::bigint AS num_with_webp, round(sum(coalesce(value, 0)), 4) AS total_clip_duration, round(max(coalesce(value, 0)), 4) AS max_clip_duration FROM events GROUP BY user_id")
+def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .demo_text import _folder
+
+    rows = table(spark, sf_dir, "events").select(F.col("event_id").alias("clip_id"), F.col("user_id").alias("video"), F.encode("props", "UTF-8").alias("mp4"), (F.col("event_type") == "purchase").alias("passed"), F.coalesce("value", F.lit(0.0)).alias("duration"))
+    stats = media.write_clips(rows, _folder(spark, "clips"))
+    return stats.withColumns({c: F.round(c, 4) for c in ("total_clip_duration", "max_clip_duration")})
+
+
 # --- windows -------------------------------------------------------------------------------------
 
 

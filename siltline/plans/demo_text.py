@@ -230,6 +230,21 @@ def diverse_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", M.diverse_questions()(F.col("text"), answer).alias("text"))
 
 
+@register("model_p09_synthesis", "SELECT doc_id, 'Say it in other words: ' || text || ']' AS generated FROM documents WHERE text IS NOT NULL")
+def synthesis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import media
+
+    docs = table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", "text")
+    return media.synthesise(docs, "Say it in other words: {document}", lambda: lambda ts: [f"[{t}]" for t in ts], after=lambda c: F.regexp_replace(c, r"^\[", "")).select("doc_id", "generated")
+
+
+@register("model_p09_questions", "SELECT 'Ask in ' || ['English', 'German', 'Thai'][i % 3 + 1] AS text FROM range(300) AS t(i)")
+def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import media
+
+    return media.multilingual_questions(spark, "Ask in {language}", ["English", "German", "Thai"], 300, lambda: lambda ts: [f"**{t}**" for t in ts])
+
+
 # --- sources and sinks ---------------------------------------------------------------------------
 
 
@@ -279,6 +294,20 @@ def url_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.url_table(spark, table(spark, sf_dir, "web_pages"))
 
 
+def _page_of(url: str) -> bytes:
+    return f"<html><body><p>The page at {url} stands alone.</p></body></html>".encode()
+
+
+def _page_records(path: str, content: bytes):
+    yield os.path.basename(path), content
+
+
+@register("s10_download_extract", "SELECT DISTINCT 'The page at ' || url || ' stands alone.' AS text FROM web_pages WHERE url IS NOT NULL")
+def download_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = archives.download_extract(spark, table(spark, sf_dir, "web_pages"), _page_of, _folder(spark, "download"), _page_records, "file string, content binary", lambda df: X.extract_content(df, "content"))
+    return made.select("text")
+
+
 @register("s11_snapshots")
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = [f"CC-MAIN-{y}-{w:02d}" for y in (2022, 2023, 2024) for w in (5, 14, 23, 40, 50)]

@@ -104,11 +104,25 @@ class Pipeline:
         return df, seen
 
 
+def read_spec(spec: dict | str) -> dict:
+    """A specification as a dictionary, from JSON or, where a reader of it is installed, YAML text."""
+    if isinstance(spec, dict):
+        return spec
+    try:
+        return json.loads(spec)
+    except json.JSONDecodeError:
+        try:
+            import yaml
+        except ImportError:
+            raise ValueError("the specification is no JSON, and no reader of YAML is installed") from None
+        return yaml.safe_load(spec)
+
+
 def from_spec(spec: dict | str) -> Pipeline:
-    """A pipeline from a dictionary or JSON text: ``{"name": ..., "stages": [{"stage": name, option: value}]}``.
+    """A pipeline from a dictionary, JSON or YAML text: ``{"name": ..., "stages": [{"stage": name, option: value}]}``.
     A stage is a registered name or module:function of this package; ``${variable}`` is looked up among the
     other keys of the specification.  Rules are given as {"rule": name, option: value}."""
-    spec = json.loads(spec) if isinstance(spec, str) else spec
+    spec = read_spec(spec)
     if "stages" not in spec or "workflow" in spec:
         raise ValueError("a specification has stages and no workflow")
     from ..functions import scores
@@ -136,7 +150,7 @@ def run_spec(spark: SparkSession, spec: dict | str) -> DataFrame | None:
     """A whole specification: ``input`` (path, format), stages, ``output`` (path, format, mode)."""
     from ..sources import files, sinks
 
-    spec = json.loads(spec) if isinstance(spec, str) else spec
+    spec = read_spec(spec)
     read = {"jsonl": files.read_jsonl, "parquet": files.read_parquet}[spec["input"].get("format", "jsonl")]
     df = from_spec({k: v for k, v in spec.items() if k not in ("input", "output")}).run(read(spark, spec["input"]["path"], spec["input"].get("fields")))
     if "output" not in spec:
@@ -147,9 +161,9 @@ def run_spec(spark: SparkSession, spec: dict | str) -> DataFrame | None:
 
 
 def _register() -> None:
-    from ..operators import dedup, interleaved, score_filter, split_join, windows
+    from ..operators import dedup, interleaved, media, score_filter, split_join, windows
 
-    for f in (score_filter.score, score_filter.filter_rows, score_filter.score_filter, score_filter.modify, score_filter.preserve_by_value, score_filter.keep_labels, score_filter.add_id, score_filter.select_present, split_join.split_documents, split_join.join_segments, split_join.merge_chunks, dedup.remove, dedup.exact_duplicates, dedup.fuzzy_duplicates, interleaved.image_to_text_ratio, windows.conversation_windows, windows.filter_overlaps):
+    for f in (score_filter.score, score_filter.filter_rows, score_filter.score_filter, score_filter.modify, score_filter.preserve_by_value, score_filter.keep_labels, score_filter.add_id, score_filter.select_present, split_join.split_documents, split_join.join_segments, split_join.merge_chunks, dedup.remove, dedup.exact_duplicates, dedup.fuzzy_duplicates, interleaved.image_to_text_ratio, windows.conversation_windows, windows.filter_overlaps, media.aspect_ratio_filter, media.blur_filter, media.code_filter, media.clip_stats, media.to_documents):
         stage()(f)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,12 +59,15 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``.  Only where that is unset, as in
-    local tests, a temporary folder of this machine."""
+    """The folder all executors share: ``spark.checkpoint.dir``.  Only where that is unset and all work is
+    done in this process, as in local tests, a temporary folder of this machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         import tempfile
 
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("a cluster needs a folder that all its executors share in spark.checkpoint.dir")
+
         folder = tempfile.mkdtemp(prefix="siltline-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

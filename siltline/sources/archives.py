@@ -101,6 +101,26 @@ def download(df: DataFrame, fetch: Callable[[str], bytes], folder: str, url_col:
     return df.select(url_col).mapInPandas(run, "url string, path string")
 
 
+def download_extract(spark: SparkSession, urls: Sequence[str] | DataFrame, fetch: Callable[[str], bytes], folder: str, records: Callable[[str, bytes], Iterator[tuple]], schema: str, extract: Callable[[DataFrame], DataFrame] | None = None, url_limit: int | None = None, record_limit: int | None = None) -> DataFrame:
+    """Addresses to documents in one plan: each file is fetched, taken apart into records of ``schema`` and,
+    by ``extract``, into text.  A file's records are yielded one by one."""
+    fetched = download(url_table(spark, urls, url_limit), fetch, folder)
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from itertools import islice
+
+        names = [f.split()[0] for f in schema.split(", ")]
+        for part in parts:
+            for path in part["path"]:
+                with open(path, "rb") as f:
+                    content = f.read()
+                found = records(path, content)
+                yield pd.DataFrame(list(found if record_limit is None else islice(found, record_limit)), columns=names)
+
+    made = fetched.select("path").mapInPandas(run, schema)
+    return extract(made) if extract else made
+
+
 # --- WARC ----------------------------------------------------------------------------------------
 
 
