@@ -26,10 +26,10 @@ def _classes() -> np.ndarray:
     """The classes of each code point."""
     import regex
 
-    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
     out = np.zeros(0x110000, np.uint8)
-    for bit, pattern in ((ALNUM, r"[a-zA-Z0-9\n?!,.]"), (DIGIT, r"\p{Nd}"), (WHITE, r"[\t\n\r\x08 ]"), (BRACKET, r"[{}⟨⟩\[\]()]"), (SPACE, f"[{SPACE_CLASS}]"), (ALPHA, r"\p{Alphabetic}")):
-        out[np.frombuffer("".join(regex.findall(pattern, every)).encode("utf-32-le"), np.uint32)] |= bit
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    for bit, pattern, where in ((ALNUM, r"[a-zA-Z0-9\n?!,.]", every[:128]), (WHITE, r"[\t\n\r\x08 ]", every[:128]), (BRACKET, r"[{}⟨⟩\[\]()]", every[:0x3000]), (SPACE, f"[{SPACE_CLASS}]", every[:0x3001]), (DIGIT, r"\p{Nd}+", every), (ALPHA, r"\p{Alphabetic}+", every)):
+        out[np.frombuffer("".join(regex.findall(pattern, where)).encode("utf-32-le"), np.uint32)] |= bit
     return out
 
 

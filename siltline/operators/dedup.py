@@ -132,24 +132,64 @@ def chain_edges(buckets: DataFrame, members_col: str = "ids") -> DataFrame:
     return buckets.select(F.inline(pairs)).distinct()
 
 
-def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def stars(most: int = 1_000_000):
+    """The links of a task as stars around the smallest members, at most ``most`` records at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict = {}
+
+        def top(x):
+            while (p := parent[x]) != x:
+                parent[x] = x = parent[p]
+            return x
+
+        def made() -> pa.RecordBatch:
+            members = [x for x in parent if top(x) != x]
+            out = pa.RecordBatch.from_arrays([pa.array([parent[x] if parent[parent[x]] == parent[x] else top(x) for x in members], kind), pa.array(members, kind)], ["lo", "hi"])
+            parent.clear()
+            return out
+
+        kind = None
+        for batch in batches:
+            kind = batch.column(0).type
+            for lo, hi in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                parent.setdefault(lo, lo)
+                parent.setdefault(hi, hi)
+                a, b = top(lo), top(hi)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+            if len(parent) > most:
+                yield made()
+        if parent:
+            yield made()
+
+    return run
+
+
+def connected_components(edges: DataFrame, rounds: int = 60, staged_from: int = 1_000_000) -> DataFrame:
     """(id, group): the smallest id each id is connected to, for edges (lo, hi).
 
     Alternating large-star and small-star: in each round every vertex links its larger neighbours, then
     its smaller ones, to the smallest it knows.  Rows only; the smallest come from partial aggregation and
-    are written before they are joined back, so that a hot vertex is split."""
+    are written before they are joined back, so that a hot vertex is split.  Each task first joins the edges
+    it reads into stars."""
+    kind = edges.schema["lo"].dataType.simpleString()
+    if kind in ("string", "bigint", "int") and kind == edges.schema["hi"].dataType.simpleString():
+        edges = edges.where("lo IS NOT NULL AND hi IS NOT NULL AND lo <> hi").select("lo", "hi").mapInArrow(stars(), f"lo {kind}, hi {kind}")
     now = staged(edges.where("lo <> hi").select(F.least("lo", "hi").alias("lo"), F.greatest("lo", "hi").alias("hi")).distinct())
-    before = None
+    before, edges_now = None, now.count()
     for _ in range(rounds):
         both = now.select(F.col("lo").alias("v"), F.col("hi").alias("u")).unionByName(now.select(F.col("hi").alias("v"), F.col("lo").alias("u")))
-        least = staged(both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m")))
-        large = staged(both.join(least, "v").where("u > v AND u <> m").select(F.col("m").alias("lo"), F.col("u").alias("hi")).distinct())
-        down = staged(large.groupBy("hi").agg(F.min("lo").alias("m")))
+        hold = staged if edges_now > staged_from else lambda df: df  # a table this small has no hot vertex to split
+        least = hold(both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m")))
+        large = hold(both.join(least, "v").where("u > v AND u <> m").select(F.col("m").alias("lo"), F.col("u").alias("hi")).distinct())
+        down = hold(large.groupBy("hi").agg(F.min("lo").alias("m")))
         linked = large.join(down, "hi").select(F.explode(F.array(F.struct(F.col("m").alias("lo"), F.col("lo").alias("hi")), F.struct(F.col("m").alias("lo"), F.col("hi").alias("hi")))).alias("e")).select("e.lo", "e.hi").where("lo <> hi")
         old, now = now, staged(linked.distinct())
-        for table in (old, least, large, down):
+        for table in (old, least, large, down) if hold is staged else (old,):
             unstage(table)
         state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("lo", "hi"))).first()
+        edges_now = state[0]
         if tuple(state) == before:
             break
         before = tuple(state)
