@@ -20,13 +20,12 @@ reversed pairs count once; of several scores one that suffices is enough.  An em
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.dedup import stars as _stars
 from ..session import small, staged, unstage
 
 
@@ -39,40 +38,6 @@ def links(df: DataFrame, a: str = "id", b: str = "max_id", score: str | None = "
     return rows.where("x <> y").select(F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi"))
 
 
-def _stars(most: int = 1_000_000):
-    """The links of a task as stars around the smallest members, at most ``most`` records at a time."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parent: dict = {}
-
-        def top(x):
-            while (p := parent[x]) != x:
-                parent[x] = x = parent[p]
-            return x
-
-        def made() -> pa.RecordBatch:
-            members = [x for x in parent if top(x) != x]
-            out = pa.RecordBatch.from_arrays([pa.array([parent[x] if parent[parent[x]] == parent[x] else top(x) for x in members], kind), pa.array(members, kind)], ["lo", "hi"])
-            parent.clear()
-            return out
-
-        kind = None
-        for batch in batches:
-            kind = batch.column(0).type
-            for lo, hi in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                parent.setdefault(lo, lo)
-                parent.setdefault(hi, hi)
-                a, b = top(lo), top(hi)
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-            if len(parent) > most:
-                yield made()
-        if parent:
-            yield made()
-
-    return run
-
-
 def hash_to_min(pairs: DataFrame, rounds: int = 60) -> DataFrame:
     """(group_id, id) of every record in ``pairs`` (lo, hi) but each group's smallest."""
     kind = pairs.schema["lo"].dataType.simpleString()
