@@ -5,7 +5,6 @@ from __future__ import annotations
 import gzip
 import json
 import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,19 +14,15 @@ from ..functions import models
 from ..functions import modifiers as M
 from ..functions import scores as S
 from ..operators import score_filter
-from ..session import remove_at_exit, shared_dir, spread
+from ..session import new_folder, spread
 from ..sources import archives, files, sinks
 from . import pipeline
 from .demo import DW, WS, register, strip_sql, table
 
 
 def _folder(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared folder for files a query writes and reads."""
-    root = shared_dir(spark).removeprefix("file://")
-    os.makedirs(root, exist_ok=True)
-    path = tempfile.mkdtemp(prefix=f"siltline-{name}-", dir=root)
-    remove_at_exit(spark, path)
-    return path
+    """A new folder in the shared folder for files a query writes and reads, whatever its file system."""
+    return new_folder(spark, name)
 
 
 def _html(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,6 +278,18 @@ def split_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_parquet(spark, path).agg(F.count("*").alias("n"))
 
 
+@register("w12_csv_round_trip", "SELECT doc_id, source, n_chars FROM documents")
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _folder(spark, "csv")
+    sinks.write_csv(table(spark, sf_dir, "documents"), path, "overwrite", ["doc_id", "source", "n_chars"])
+    return spark.read.option("header", "true").schema("doc_id long, source string, n_chars long").csv(path)
+
+
+@register("s18_read_interleaved", "SELECT sample_id, position, modality FROM interleaved")
+def read_interleaved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.read_interleaved(spark, f"{sf_dir}/interleaved.parquet").select("sample_id", "position", "modality")
+
+
 @register("s01_file_groups")
 def file_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = files.list_files(sf_dir, [".parquet"])

@@ -56,6 +56,7 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 _written: list[tuple[SparkSession, str]] = []
+_tables: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -73,6 +74,16 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new, empty folder in the shared folder, made by the file system it is on; a local one is given as
+    a plain path."""
+    path = f"{shared_dir(spark)}/siltline-{name}-{uuid.uuid4().hex}"
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(at)
+    remove_at_exit(spark, path)
+    return path.removeprefix("file://")
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends there, later readers take
     only the columns they need, and lost executors cost nothing that was written."""
@@ -92,6 +103,7 @@ def bucketed(df: DataFrame, column: str, buckets: int) -> DataFrame:
     path = f"{shared_dir(spark)}/siltline-{name}"
     df.write.format("parquet").bucketBy(buckets, column).option("path", path).option("compression", "zstd").saveAsTable(name)
     remove_at_exit(spark, path)
+    _tables.append((spark, name))
     return spark.table(name)
 
 
@@ -123,6 +135,11 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 def _remove() -> None:
+    for spark, name in _tables:
+        try:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        except Exception:  # the session has ended, and its catalog with it
+            break
     for spark, path in _written:
         try:
             _delete(spark, path)

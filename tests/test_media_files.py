@@ -134,3 +134,25 @@ def test_download_extract_limits(spark, tmp_path):
     records = lambda path, content: ((path[-1], i) for i in range(len(content)))
     made = archives.download_extract(spark, ["http://x/a", "http://x/bb", "http://x/fails"], lambda u: {"a": b"1", "bb": b"22"}[u[9:]], str(tmp_path), records, "file string, n long", record_limit=1)
     assert sorted(tuple(r) for r in made.collect()) == [("a", 0), ("b", 0)]
+
+
+def test_edit_distances(spark):
+    import random
+
+    from siltline.functions import metrics
+
+    rng = random.Random(1)
+    for _ in range(400):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randint(0, 9))] for _ in range(2))
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            left, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                left, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, left + (x != y))
+        assert metrics.word_distance(a, b) == row[len(b)]
+    long = [str(i % 97) for i in range(3000)]
+    assert metrics.word_distance(long, long[5:]) == 5 and metrics.word_distance(long, []) == 3000
+    # characters are counted, not bytes
+    df = spark.createDataFrame([("Ünïcode", "ünïcode"), ("Привет", "привет"), ("日本語", "日本"), ("", "x"), (None, "x")], "r string, h string")
+    got = [r[0] for r in df.select(metrics.cer(F.col("r"), F.col("h"))).collect()]
+    assert got == [pytest.approx(100 / 7), pytest.approx(100 / 6), pytest.approx(100 / 3), None, None]
