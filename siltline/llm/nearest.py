@@ -5,7 +5,7 @@ chosen by a hash of the id, or ``LEAST`` a list); every vector is indexed.  Ther
 ``list_size`` vectors each; a list that would hold more than twice its share of the sample is split into
 further ones.  A vector is in the list of its nearest centroid.  Its neighbours are looked for in its own
 list, where all vectors are at hand and the similarity is exact, and in the other lists whose centroids are
-nearest to the vector itself: half as many as the square root of the number of lists, ``probe`` at least.
+nearest to the vector itself: as many as 0.7 times the square root of the number of lists, ``probe`` at least.
 To these only the vector's code goes.  The asymmetric distance of a code to the vectors of a list is the
 sum of table entries, one per sub-space; for the codes of a list together these sums are the product of
 the vectors with the decoded codes, and they are computed as that.  A vector whose estimate comes within
@@ -77,7 +77,7 @@ class Index:
         if more:
             self.c = np.concatenate([self.c[n <= 2 * share], *more])
             lists = len(self.c)
-        self.probe = min(lists - 1, max(probe, round(lists**0.5 / 2)))
+        self.probe = min(lists - 1, max(probe, round(0.7 * lists**0.5)))
         rest = sample - self.c[self.assign(sample)]
         self.width = sample.shape[1] // SUB if sample.shape[1] % SUB == 0 else sample.shape[1]
         subs = sample.shape[1] // self.width
