@@ -292,7 +292,21 @@ def alphabetic(least: float = 0.25) -> Rule:
     return Rule("alpha", lambda t: ratio(chars_in(t, r"\p{IsAlphabetic}"), F.length(t)), at_least(least))
 
 
-class _Visible(HTMLParser):
+class Markup(HTMLParser):
+    """Reads any text: a section ``<![`` whose name HTML does not know is a comment up to the next ``>``, and
+    a character reference of more digits than Python converts is one beyond the last character."""
+
+    def feed(self, data):
+        super().feed(re.sub(r"(?<=&#)[0-9]{8,}", lambda m: n if len(n := m[0].lstrip("0") or "0") < 8 else "1114112", data))
+
+    def parse_marked_section(self, i, report=1):
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:  # no name, or an unknown one
+            return self.parse_bogus_comment(i, report)
+
+
+class _Visible(Markup):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.parts: list[str] = []

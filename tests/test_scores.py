@@ -6,6 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from siltline.functions import extract as X
 from siltline.functions import flat
 from siltline.functions import scores as S
 from siltline.operators import score_filter as sf
@@ -50,6 +51,14 @@ CASES = [
 ]
 
 
+def test_html_of_any_text(spark):
+    """Sections without a name HTML knows are comments to the next >; known ones, and references, stay as they were."""
+    texts = ["<![*_]]60\n>abcd", "<![foo[x]]>abcd", "a<![b", "<![if x]>abcd<![endif]>", "<![CDATA[a>b]]>cd", "&#" + "9" * 5000 + ";abc", "&#" + "0" * 5000 + "65;bcd"]
+    want = [4 / 15, 4 / 15, 5 / 5, 4 / 23, 2 / 17, 4 / 5006, 4 / 5008]
+    assert scored(spark, S.html_boilerplate(0.2, 1), texts)[0] == [pytest.approx(w, abs=1e-9) for w in want]
+    assert [b.text for b in X.html_blocks("<p>one</p><![_x]><p>two</p>")] == ["one", "two"]
+
+
 @pytest.mark.parametrize("rule,texts,want,kept", CASES, ids=[c[0].name for c in CASES])
 def test_rule(spark, rule, texts, want, kept):
     got, keep = scored(spark, rule, [*texts, None])
