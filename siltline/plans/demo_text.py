@@ -323,30 +323,42 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.url_table(spark, urls)
 
 
+def _warc_record(i: int, url: str, text: str) -> bytes:
+    """A compressed response, numbered within its file."""
+    body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + text.encode()
+    head = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:{i:08d}>\r\nWARC-Target-URI: {url}\r\nContent-Length: {len(body)}\r\n\r\n"
+    return gzip.compress(head.encode() + body + b"\r\n\r\n")
+
+
 def _warc(pages: list[tuple[str, str]]) -> bytes:
     """A compressed WARC file of responses."""
-    out = b""
-    for i, (url, text) in enumerate(pages):
-        body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + text.encode()
-        head = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:{i:08d}>\r\nWARC-Target-URI: {url}\r\nContent-Length: {len(body)}\r\n\r\n"
-        out += gzip.compress(head.encode() + body + b"\r\n\r\n")
-    return out
+    return b"".join(_warc_record(i, url, text) for i, (url, text) in enumerate(pages))
 
 
-def _write_warcs(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    """The pages as WARC files, one per partition."""
+def _write_warcs(spark: SparkSession, sf_dir: str, folder: str, most_bytes: int = 1 << 25) -> None:
+    """The pages as WARC files, one or more per partition: a file is full at ``most_bytes``.  A file is written
+    under a hidden name and renamed."""
 
     def write(parts):
         from pyspark import TaskContext
 
-        rows = [(u, h) for p in parts for u, h in zip(p["url"], p["html"])]
-        path = os.path.join(folder, f"{TaskContext.get().partitionId():05d}.warc.gz")
-        with open(path + ".tmp", "wb") as f:
-            f.write(_warc(rows))
-        os.replace(path + ".tmp", path)
+        at, pages, k = TaskContext.get(), (r for p in parts for r in zip(p["url"], p["html"])), 0
+        temporary = os.path.join(folder, f".{at.partitionId():05d}-{at.taskAttemptId()}")
+        page = next(pages, None)
+        while page:
+            with open(temporary, "wb") as f:
+                i = 0
+                while page and f.tell() < most_bytes:
+                    f.write(_warc_record(i, *page))
+                    i, page = i + 1, next(pages, None)
+            os.replace(temporary, os.path.join(folder, f"{at.partitionId():05d}-{k:03d}.warc.gz"))
+            k += 1
         yield from ()
 
-    _html(spark, sf_dir).where("url IS NOT NULL").repartition(4, "page_id").select("url", "html").mapInPandas(write, "x int").count()
+    # so many parts as the session shuffles into, merged by their size; in order, so that a task that is run
+    # again writes the same files
+    pages = _html(spark, sf_dir).where("url IS NOT NULL").repartition("page_id").sortWithinPartitions("page_id")
+    pages.select("url", "html").mapInPandas(write, "x int").count()
 
 
 @register("s14_warc", "SELECT url FROM web_pages WHERE url IS NOT NULL AND text IS NOT NULL")

@@ -10,6 +10,7 @@ import json
 import os
 import re
 import tarfile
+import zlib
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -124,23 +125,58 @@ def download_extract(spark: SparkSession, urls: Sequence[str] | DataFrame, fetch
 # --- WARC ----------------------------------------------------------------------------------------
 
 
+def gzip_members(content: bytes, piece: int = 1 << 14) -> Iterator[bytes]:
+    """The members of a gzip file one by one, each checked; what follows a member is never copied whole."""
+    view, at = memoryview(content), 0
+    while at < len(view):
+        member, parts = zlib.decompressobj(31), []
+        while not member.eof:
+            if at >= len(view):
+                raise EOFError("the last member is cut off")
+            fed = view[at : at + piece]
+            parts.append(member.decompress(fed))
+            at += len(fed) - len(member.unused_data)
+        yield b"".join(parts)
+        at = _PADDING.match(content, at).end()
+
+
+_PADDING = re.compile(rb"\0*")
+
+
 def warc_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers and block of each record of a WARC file, compressed or not."""
-    if content[:2] == b"\x1f\x8b":
-        content = gzip.decompress(content)
-    at = 0
-    while at < len(content):
-        at = content.find(b"WARC/", at)
-        if at < 0:
-            return
-        end = content.find(b"\r\n\r\n", at)
+    """Headers and block of each record of a WARC file, compressed or not.  Of a compressed file as many
+    members are held as a record takes, and an error in one leaves the records before it."""
+    pieces = gzip_members(content) if content[:2] == b"\x1f\x8b" else iter((content,))
+    data, at = b"", 0
+
+    def more(least: int) -> bool:
+        """Have so many bytes from ``at`` on, which becomes 0, or all there are; tells if any came."""
+        nonlocal data, at
+        parts = [data[at:]]
+        n = len(parts[0])
+        while n < least and (p := next(pieces, None)) is not None:
+            parts.append(p)
+            n += len(p)
+        data, at = b"".join(parts), 0
+        return len(parts) > 1
+
+    while True:
+        begin = data.find(b"WARC/", at)
+        end = data.find(b"\r\n\r\n", begin) if begin >= 0 else -1
         if end < 0:
-            return
-        lines = content[at:end].decode("utf-8", "replace").split("\r\n")[1:]
+            at = begin if begin >= 0 else max(at, len(data) - 4)
+            if not more(2 * max(0, len(data) - at) + 1):
+                return
+            continue
+        lines = data[begin:end].decode("utf-8", "replace").split("\r\n")[1:]
         headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-        size = int(headers.get("content-length", 0))
-        yield headers, content[end + 4 : end + 4 + size]
-        at = end + 4 + size
+        size = max(0, int(headers.get("content-length", 0)))
+        block = end + 4
+        if block + size > len(data):
+            at, block = begin, block - begin
+            more(block + size)
+        yield headers, data[block : block + size]
+        at = block + size
 
 
 def http_body(block: bytes) -> bytes:

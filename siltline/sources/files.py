@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from ..operators.interleaved import SCHEMA, align
 
 EXTENSIONS = (".jsonl", ".json", ".parquet")
+BATCH_ROWS, BATCH_BYTES = 10_000, 1 << 24
 
 
 def list_files(paths: str | Sequence[str], extensions: Sequence[str] | None = EXTENSIONS, limit: int | None = None, recursive: bool | None = None) -> list[str]:
@@ -114,23 +115,35 @@ def read_binary(spark: SparkSession, paths: str | Sequence[str], pattern: str |
 
 def iterate_files(df: DataFrame, iterate, schema: str, record_limit: int | None = None, file_col: str | None = None) -> DataFrame:
     """Rows of ``iterate(path, content)``, which yields a tuple per record or None to drop it.  An error
-    ends its file only; ``record_limit`` counts kept records per file."""
-    names = [f.split()[0] for f in schema.split(", ")]
+    ends its file only; ``record_limit`` counts kept records per file.  Records go on in batches of at most
+    ``BATCH_ROWS``, and of ``BATCH_BYTES`` or a single record, not by the file."""
+    names = [f.split()[0] for f in schema.split(", ")] + ([file_col] if file_col else [])
+
+    def kept(path: str, content: bytes) -> Iterator[tuple]:
+        n = 0
+        try:
+            for r in iterate(path, content):
+                if r is None:
+                    continue
+                yield (*r, os.path.basename(path)) if file_col else r
+                n += 1
+                if record_limit and n >= record_limit:
+                    break
+        except Exception as e:  # a broken file keeps the records read before
+            print(f"{path}: {type(e).__name__}: {e}")
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for path, content in zip(part["path"], part["content"]):
-                rows = []
-                try:
-                    for r in iterate(path, content):
-                        if r is None:
-                            continue
-                        rows.append((*r, os.path.basename(path)) if file_col else r)
-                        if record_limit and len(rows) >= record_limit:
-                            break
-                except Exception as e:  # a broken file keeps the records read before
-                    print(f"{path}: {type(e).__name__}: {e}")
+                rows, size = [], 0
+                for r in kept(path, content):
+                    n = sum(len(v) for v in r if isinstance(v, (bytes, str)))
+                    if rows and (len(rows) >= BATCH_ROWS or size + n > BATCH_BYTES):
+                        yield pd.DataFrame(rows, columns=names)
+                        rows, size = [], 0
+                    rows.append(r)
+                    size += n
                 if rows:
-                    yield pd.DataFrame(rows, columns=names + ([file_col] if file_col else []))
+                    yield pd.DataFrame(rows, columns=names)
 
     return df.select("path", "content").mapInPandas(run, schema + (f", {file_col} string" if file_col else ""))

@@ -4,6 +4,7 @@ import gzip
 import io
 import json
 import tarfile
+import time
 
 import numpy as np
 import pytest
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from siltline.functions import extract as X
 from siltline.functions.scores import word_count
 from siltline.plans import pipeline as P
-from siltline.plans.demo_text import _warc
+from siltline.plans.demo_text import _warc, _write_warcs
 from siltline.sources import archives as A
 from siltline.sources import files, sinks
 from siltline.streaming import streams
@@ -95,6 +96,49 @@ def test_image_archives(spark, tmp_path):
     assert sorted((r["image_id"], bytes(r["content"])) for r in A.read_image_archives(spark, str(tmp_path / "i")).collect()) == [("i1", b"1"), ("i2", b"2")]
 
 
+def test_warc_of_many_records():
+    """The time grows with the file: copying the rest of it for each record takes minutes here."""
+    began = time.process_time()
+    data = _warc([(f"http://{i}", f"<p>{i}</p>") for i in range(60_000)])
+    assert [h["warc-target-uri"] for h, _ in A.warc_records(data)] == [f"http://{i}" for i in range(60_000)]
+    assert time.process_time() - began < 20
+
+
+def test_warc_members(spark, tmp_path):
+    """Records over several members, several in one, padding between members, and an error after some."""
+    pages = [(f"http://{i}", f"<p>{i}</p>" * 50 * i) for i in range(8)]
+    whole = list(A.warc_records(gzip.decompress(_warc(pages))))
+    assert [A.http_body(b).decode() for _, b in whole] == [t for _, t in pages]
+    plain = gzip.decompress(_warc(pages))
+    for size in (1, 7, 100, 1000, len(plain)):
+        pieces = [gzip.compress(plain[i : i + size]) for i in range(0, len(plain), size)]
+        for between in (b"", b"\0" * 600):
+            assert list(A.warc_records(between.join(pieces))) == whole
+    (tmp_path / "cut.warc.gz").write_bytes(_warc(pages)[:-3])
+    (tmp_path / "wrong.warc.gz").write_bytes(_warc(pages[:2]) + b"no member")
+    got = [(r["source_id"], r["url"]) for r in A.read_warc(spark, str(tmp_path)).collect()]
+    assert sorted(got) == [("cut.warc.gz", u) for u, _ in pages[:-1]] + [("wrong.warc.gz", u) for u, _ in pages[:2]]
+
+
+def test_warc_files(spark, data, tmp_path):
+    """Every page stands in one of the files, however many there are of a partition."""
+    _write_warcs(spark, data, str(tmp_path), most_bytes=3000)
+    names = {p.name for p in tmp_path.iterdir()}
+    want = spark.read.parquet(f"{data}/web_pages.parquet").where("url IS NOT NULL AND text IS NOT NULL")
+    got = A.read_warc(spark, str(tmp_path)).select("url", "source_id").collect()
+    assert sorted(r["url"] for r in got) == sorted(r["url"] for r in want.select("url").collect())
+    assert {r["source_id"] for r in got} == {n for n in names if n.endswith(".gz")} and any(n.endswith("-001.warc.gz") for n in names)
+
+
+def test_records_go_on_in_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "BATCH_ROWS", 3)
+    (tmp_path / "x").write_bytes(b"abcdefgh")
+    rows = lambda path, content: ((chr(c),) for c in content)
+    df = files.read_binary(spark, str(tmp_path))
+    assert [r[0] for r in files.iterate_files(df, rows, "c string").collect()] == list("abcdefgh")
+    assert [r[0] for r in files.iterate_files(df, rows, "c string", 4).collect()] == list("abcd")
+
+
 def test_warc(spark, tmp_path):
     data = _warc([("http://a", "<p>one</p>"), ("http://b", "two")])
     (tmp_path / "x.warc.gz").write_bytes(data)
