@@ -80,6 +80,13 @@ def count_of(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern))
 
 
-def deferred(fn: Callable, kind: str) -> Callable[..., Column]:
-    """A pandas UDF that is made when it is applied, so that none needs a session at import."""
-    return lambda *columns: F.pandas_udf(fn, kind)(*columns)
+def deferred(fn: Callable, kind: str, once: bool = False) -> Callable[..., Column]:
+    """A pandas UDF that is made when it is applied, so that none needs a session at import.  With ``once``
+    Spark is told that it is not deterministic: it then stays one evaluation where a condition on its result
+    would else be moved below it and evaluate it again."""
+
+    def make(*columns: Column) -> Column:
+        udf = F.pandas_udf(fn, kind)
+        return (udf.asNondeterministic() if once else udf)(*columns)
+
+    return make

@@ -294,7 +294,8 @@ def alphabetic(least: float = 0.25) -> Rule:
 
 class Markup(HTMLParser):
     """Reads any text: a section ``<![`` whose name HTML does not know is a comment up to the next ``>``, and
-    a character reference of more digits than Python converts is one beyond the last character."""
+    a character reference of more digits than Python converts is one beyond the last character.  Tags that
+    are a name only, which most are, are read at once, and positions are not counted."""
 
     def feed(self, data):
         super().feed(re.sub(r"(?<=&#)[0-9]{8,}", lambda m: n if len(n := m[0].lstrip("0") or "0") < 8 else "1114112", data))
@@ -305,6 +306,29 @@ class Markup(HTMLParser):
         except AssertionError:  # no name, or an unknown one
             return self.parse_bogus_comment(i, report)
 
+    def parse_starttag(self, i):
+        m = _BARE_START.match(self.rawdata, i)
+        if not m:
+            return super().parse_starttag(i)
+        tag = m[1].lower()
+        self.handle_starttag(tag, [])
+        if tag in self.CDATA_CONTENT_ELEMENTS:
+            self.set_cdata_mode(tag)
+        return m.end()
+
+    def parse_endtag(self, i):
+        m = _BARE_END.match(self.rawdata, i) if self.cdata_elem is None else None
+        if not m:
+            return super().parse_endtag(i)
+        self.handle_endtag(m[1].lower())
+        return m.end()
+
+    def updatepos(self, i, j):
+        return j
+
+
+_BARE_START, _BARE_END = re.compile(r"<([a-zA-Z][^\t\n\r\f />\x00]*)>"), re.compile(r"</([a-zA-Z][-.a-zA-Z0-9:_]*)>")
+
 
 class _Visible(Markup):
     def __init__(self):

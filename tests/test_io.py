@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from siltline.functions import extract as X
 from siltline.functions.scores import word_count
 from siltline.plans import pipeline as P
-from siltline.plans.demo_text import _warc, _write_warcs
+from siltline.plans.demo_text import _html, _warc, _write_warcs, crawl_extract
 from siltline.sources import archives as A
 from siltline.sources import files, sinks
 from siltline.streaming import streams
@@ -130,6 +130,28 @@ def test_warc_files(spark, data, tmp_path):
     assert {r["source_id"] for r in got} == {n for n in names if n.endswith(".gz")} and any(n.endswith("-001.warc.gz") for n in names)
 
 
+def test_crawl_is_extracted_once(spark, data):
+    """A condition on the text doesn't evaluate the extraction twice, and pages are parsed once for both
+    language and text; the result is that of the functions on each page."""
+    found = crawl_extract(spark, data)
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    want = []
+    for r in _html(spark, data).where("url IS NOT NULL").collect():
+        language = X.guess_language(" ".join(b.text for b in X.html_blocks(r["html"])))
+        texts = X.block_texts(r["html"], frozenset(X.STOP_WORDS[language])) if language else []
+        assert texts == (X.block_texts(X.html_blocks(r["html"]), frozenset(X.STOP_WORDS[language])) if language else [])
+        want += [(r["url"], language, "\n\n".join(texts))] if texts else []
+    assert sorted((r["url"], r["language"], r["text"]) for r in found.collect()) == sorted(want) and want
+
+
+def test_language_by_density():
+    """One count of the words gives each language the share that counting it alone gives."""
+    for text in (GOOD, "The, the! der die und von; los las", "el la de", "", " ", "x y z", "l'eau de la (le) d'un \"et\" les"):
+        shares = {k: X.stop_density(text, frozenset(v)) for k, v in X.STOP_WORDS.items()}
+        best = max(shares, key=shares.get)
+        assert X.guess_language(text) == (best if shares[best] >= 0.1 else None)
+
+
 def test_records_go_on_in_batches(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(files, "BATCH_ROWS", 3)
     (tmp_path / "x").write_bytes(b"abcdefgh")
