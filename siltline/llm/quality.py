@@ -12,7 +12,8 @@ characters other than blanks stand in blocks that are not.
 The vocabulary and the word-order statistic are counted over all documents: the words that occur in at
 least two and a share of ``KNOWN_SHARE`` of them (so their number is bounded by the words of a document over
 that share), and how much more often two of the ``COMMON`` commonest follow each other than they would in any
-order.  Each task adds up its own counts; only these lists are collected.  Letters of scripts written without
+order.  Each task adds up its own counts; only these lists are collected.  The texts are taken apart once, into a
+staged table of tokens and blocks, which the counts and the verdicts read.  Letters of scripts written without
 blanks count as a word each.  A block whose letters are in scripts that hardly any known word has says nothing
 by its words being unknown; it gets the share of known words of the prose examples.
 
@@ -23,16 +24,15 @@ Without labelled rows the mixture is that of the inspected examples."""
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import small, staged
+from ..session import staged
 from .canon import canonical
 
 FEATURES = ("letter_share", "log_unit_words", "known_share", "order", "distinct_share", "digit_word_share", "ended_share", "log_words")
@@ -61,10 +61,13 @@ PROSE_KNOWN = 0.9
 _PARAGRAPH = re.compile(r"\n[ ]*\n\s*")
 _DENSE = "\u0e00-\u0e7f\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff"  # scripts written without blanks
 _WORD = re.compile(rf"[{_DENSE}]|[^\W_{_DENSE}]+")
-_TOKEN = re.compile(rf"[{_DENSE}]|[^\W_{_DENSE}]+|\n(?:[ ]*(?:[-*•‣·+]|\d+[.)])[ ])?|[。]+|(?<=[{_DENSE}])[!?]+|[.!?…;]+(?=[\s\"'”»)]|$)")
+# Blanks and commas begin no token, so they may be passed over together with the token before them.
+_TOKEN = re.compile(rf"([^\W_{_DENSE}]+|[{_DENSE}]|\n(?:[ ]*(?:[-*•‣·+]|\d+[.)])[ ])?|[。]+|(?<=[{_DENSE}])[!?]+|[.!?…;]+(?=[\s\"'”»)]|$))[ ,]*")
 COMMON, KNOWN_IN, STRENGTH = 1000, 2, 20.0
 # Fixed value: the share of the documents that hold a known word; words of copied junk are rarer.
 KNOWN_SHARE = 0.004
+# The texts, and about the characters, that are taken apart and measured together.
+PART, PART_CHARS = 500, 1_000_000
 WORDS_OF_INTEREST = 200
 
 
@@ -89,82 +92,142 @@ class Vocabulary:
         self.order[k - 1, :] = self.order[:, k - 1] = np.nan
 
 
-def _words(text: str) -> list[str]:
-    return _WORD.findall(canonical(text).lower())
+def take_apart(texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The tokens that occur in the texts; all tokens in order, as their numbers there; and a row (number of
+    the text, tokens, characters other than blanks) per block."""
+    number: defaultdict[str, int] = defaultdict()
+    number.default_factory = number.__len__
+    tokens, blocks = [], []
+    for i, t in enumerate(texts):
+        if not t:
+            continue
+        for b in _PARAGRAPH.split(canonical(t).strip()):
+            if not b:
+                continue
+            found = _TOKEN.findall(b)
+            tokens += found
+            blocks.append((i, len(found), len(b) - b.count(" ") - b.count("\n")))
+    codes = np.fromiter(map(number.__getitem__, tokens), np.int32, len(tokens))
+    return list(number), codes, np.array(blocks, np.int64).reshape(-1, 3)
 
 
-def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row (codes) per text: the hash of each of its words, 0 for those with a digit; and a row (word, code)
-    per word of the partition."""
-    known: dict[str, int] = {}
-    for batch in batches:
-        rows, fresh = [], []
-        for text in batch.column(0).to_pylist():
-            ws = _words(text)
-            for w in set(ws).difference(known):
-                known[w] = code = 0 if any(c.isdigit() for c in w) else xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) | 1
-                if code:
-                    fresh.append((w, code - (1 << 63)))
-            if ws:
-                rows.append(np.fromiter(map(known.__getitem__, ws), np.uint64, len(ws)).tobytes())
-        if len(known) > 500_000:
-            known.clear()
-        none = [None] * len(rows)
-        yield pa.RecordBatch.from_arrays([pa.array(rows + [None] * len(fresh), pa.binary()), pa.array(none + [w for w, _ in fresh], pa.string()), pa.array(none + [c for _, c in fresh], pa.int64())], ["codes", "word", "code"])
-
-
-def _flat_codes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """The codes of all texts, and the text of each."""
-    rows = batch.column(0).to_pylist()
-    return np.frombuffer(b"".join(rows), np.uint64), np.repeat(np.arange(len(rows)), [len(r) // 8 for r in rows])
-
-
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(code, n, seen): how often each word without a digit occurs, and in how many texts."""
+class Words(dict):
+    """Token to its word in lower case, "" if that has a digit (as the number of a list mark), None if it is none."""
+
+    def __missing__(self, token: str) -> str | None:
+        if len(self) > 500_000:
+            self.clear()
+        if token.isalpha():
+            w = token.lower()
+        elif any(c.isdigit() for c in token):
+            w = ""
+        else:
+            w = token.lower() if _WORD.match(token) else None
+        self[token] = w
+        return w
+
+
+def _parts(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of at most ``PART`` texts, which end where they come to ``PART_CHARS`` characters."""
+    begin = chars = 0
+    for i, t in enumerate(texts, 1):
+        chars += len(t or "")
+        if i - begin == PART or chars >= PART_CHARS or i == len(texts):
+            yield begin, i
+            begin, chars = i, 0
+
+
+def _apart_schema(id_type: str) -> str:
+    return f"texts int, ids array<{id_type}>, tokens string, codes binary, blocks binary, word string, n long, seen long"
+
+
+def _taken_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row (texts, ids, tokens, codes, blocks) per part, as ``take_apart`` has them; and rows (word, n, seen)
+    of the partition: how often a word without a digit occurs, and in how many texts."""
+    words, counts = Words(), {}
+    names = ["texts", "ids", "tokens", "codes", "blocks", "word", "n", "seen"]
+
+    def counted(id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+        rows = [(w, n, seen) for w, (n, seen) in counts.items()]
+        counts.clear()
+        for b in range(0, len(rows), 10_000):
+            word, n, seen = zip(*rows[b : b + 10_000])
+            none = [pa.nulls(len(word), t) for t in (pa.int32(), pa.list_(id_type), pa.string(), pa.binary(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*none, pa.array(word, pa.string()), pa.array(n, pa.int64()), pa.array(seen, pa.int64())], names)
+
+    batch = None
     for batch in batches:
-        flat, text = _flat_codes(batch)
-        value, inverse, n = np.unique(flat, return_inverse=True, return_counts=True)
-        seen = np.bincount(np.unique(text * len(value) + inverse) % max(len(value), 1), minlength=len(value))
-        real = value > 0
-        yield pa.RecordBatch.from_arrays([pa.array((value[real] ^ np.uint64(1 << 63)).view(np.int64)), pa.array(n[real]), pa.array(seen[real])], ["code", "n", "seen"])
+        texts = batch.column(1).to_pylist()
+        for begin, end in _parts(texts):
+            tokens, codes, blocks = take_apart(texts[begin:end])
+            ids = pa.ListArray.from_arrays(pa.array([0, end - begin], pa.int32()), batch.column(0).slice(begin, end - begin))
+            row = [pa.array([end - begin], pa.int32()), ids, pa.array(["\0".join(tokens)], pa.string()), pa.array([codes.tobytes()], pa.binary()), pa.array([blocks.tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*row, *(pa.nulls(1, t) for t in (pa.string(), pa.int64(), pa.int64()))], names)
+            number: defaultdict[str, int] = defaultdict()
+            number.default_factory = number.__len__
+            of = np.array([number[w] if w else -1 for w in map(words.__getitem__, tokens)], np.int64)
+            word, text = of[codes], np.repeat(blocks[:, 0], blocks[:, 1])
+            word, text = word[word >= 0], text[word >= 0]
+            k = len(number)
+            once = np.sort(text * k + word)
+            once = once[np.r_[True, once[1:] != once[:-1]][: len(once)]]
+            n, seen = np.bincount(word, minlength=k), np.bincount(once % max(k, 1), minlength=k)
+            for w, a, b in zip(number, n.tolist(), seen.tolist()):
+                before = counts.get(w, (0, 0))
+                counts[w] = before[0] + a, before[1] + b
+            if len(counts) > 500_000:
+                yield from counted(batch.column(0).type)
+    if batch is not None:
+        yield from counted(batch.column(0).type)
+
+
+def _stored(batch: pa.RecordBatch) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+    """What ``take_apart`` gave, of each row of (tokens, codes, blocks)."""
+    for tokens, codes, blocks in zip(*(batch.column(c).to_pylist() for c in ("tokens", "codes", "blocks"))):
+        yield tokens.split("\0") if tokens else [], np.frombuffer(codes, np.int32), np.frombuffer(blocks, np.int64).reshape(-1, 3)
 
 
 def _count_pairs(common):
     """(a, b, n) as ``Vocabulary`` takes them, of a partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = common.value
-        order, k = np.argsort(codes), len(codes) + 1
-        pairs, single, total = np.zeros(k * k, np.int64), np.zeros(k, np.int64), 0
+        at, k = {w: i for i, w in enumerate(common.value)}, len(common.value) + 1
+        words, pairs, single, total, waiting, held = Words(), np.zeros(k * k, np.int64), np.zeros(k, np.int64), 0, [], 0
         for batch in batches:
-            flat, text = _flat_codes(batch)
-            if not len(flat) or k == 1:
-                total += len(flat)
-                continue
-            at = np.minimum(np.searchsorted(codes[order], flat), k - 2)
-            a = np.where(codes[order][at] == flat, order[at], k - 1)
-            pairs += np.bincount((a[:-1] * k + a[1:])[text[1:] == text[:-1]], minlength=k * k)
-            single += np.bincount(a, minlength=k)
-            total += len(a)
-        at = np.nonzero(pairs)[0]
-        at = at[(at // k < k - 1) & (at % k < k - 1)]
-        a, b = np.r_[at // k, np.arange(k - 1), -1], np.r_[at % k, np.full(k, -1)]
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(np.r_[pairs[at], single[: k - 1], total], pa.int64())], ["a", "b", "n"])
+            for tokens, codes, blocks in _stored(batch):
+                of = np.array([-1 if w is None else at.get(w, k - 1) for w in map(words.__getitem__, tokens)], np.int64)
+                a, text = of[codes], np.repeat(blocks[:, 0], blocks[:, 1])
+                a, text = a[a >= 0], text[a >= 0]
+                waiting.append((a[:-1] * k + a[1:])[(text[1:] == text[:-1]) & (a[:-1] < k - 1) & (a[1:] < k - 1)])
+                held += len(waiting[-1])
+                single += np.bincount(a, minlength=k)
+                total += len(a)
+                if held > k * k:
+                    pairs += np.bincount(np.concatenate(waiting), minlength=k * k)
+                    waiting, held = [], 0
+        pairs += np.bincount(np.concatenate([np.zeros(0, np.int64), *waiting]), minlength=k * k)
+        found = np.nonzero(pairs)[0]
+        a, b = np.r_[found // k, np.arange(k - 1), -1], np.r_[found % k, np.full(k, -1)]
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(np.r_[pairs[found], single[: k - 1], total], pa.int64())], ["a", "b", "n"])
 
     return run
 
 
-def vocabulary_of(texts: DataFrame) -> Vocabulary:
-    """The vocabulary of all texts, a table of one column without nulls.  The texts are taken apart once;
-    both counts read the codes of their words."""
-    coded = staged(texts.mapInArrow(_coded, "codes binary, word string, code long"))
-    codes = coded.where("codes IS NOT NULL").select("codes")
-    counted = codes.mapInArrow(_count_words, "code long, n long, seen long").groupBy("code").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
-    often = small(staged(counted.where(F.col("seen") >= max(KNOWN_IN, KNOWN_SHARE * texts.count())).select("code", "n")), 500_000)
-    known = coded.where("word IS NOT NULL").select("word", "code").join(often, "code").distinct().orderBy(F.desc("n"), "word").collect()
-    common = texts.sparkSession.sparkContext.broadcast(np.array([r["code"] for r in known[:COMMON]], np.int64).view(np.uint64) ^ np.uint64(1 << 63))
-    counts = codes.mapInArrow(_count_pairs(common), "a int, b int, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
-    return Vocabulary([r["word"] for r in known], list(zip(*(counts[c].to_pylist() for c in ("a", "b", "n")))))
+def taken_apart(rows: DataFrame) -> DataFrame:
+    """A table (id, text) without null texts taken apart, once: its parts and the counts of its words."""
+    return staged(rows.mapInArrow(_taken_apart, _apart_schema(rows.schema[0].dataType.simpleString())))
+
+
+def vocabulary_of(texts: DataFrame, apart: DataFrame | None = None) -> Vocabulary:
+    """The vocabulary of all texts, a table of one column without nulls; ``apart`` is what ``taken_apart`` made of it."""
+    apart = taken_apart(texts.select(F.lit(0).alias("id"), texts.columns[0])) if apart is None else apart
+    number = apart.agg(F.sum("texts")).first()[0] or 0
+    counted = apart.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
+    known = [r["word"] for r in counted.where(F.col("seen") >= max(KNOWN_IN, KNOWN_SHARE * number)).orderBy(F.desc("n"), "word").collect()]
+    common = apart.sparkSession.sparkContext.broadcast(known[:COMMON])
+    pairs = apart.where("codes IS NOT NULL").select("tokens", "codes", "blocks").mapInArrow(_count_pairs(common), "a int, b int, n long")
+    counts = pairs.groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
+    return Vocabulary(known, list(zip(*(counts[c].to_pylist() for c in ("a", "b", "n")))))
 
 
 class TokenIds(dict):
@@ -185,33 +248,25 @@ class TokenIds(dict):
         elif not c.isalnum():
             i = -5
         else:
-            i = self.known.get(token.lower(), -2 if any(x.isdigit() for x in token) else -1 if ord(c) >> 7 in self.scripts or not self.scripts else -6)
+            i = self.known.get(token.lower())
+            if i is None:
+                i = -2 if not token.isalpha() and any(x.isdigit() for x in token) else -1 if ord(c) >> 7 in self.scripts or not self.scripts else -6
         self[token] = i = 2 * i + c.islower()
         return i
 
 
-def measure(texts: list[str | None], vocabulary: Vocabulary, ids: TokenIds) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Features of the blocks of all texts, the block's text number and characters, and per text
-    (words, letters in words, symbols, lines, ended lines, common words, characters)."""
-    tokens, sizes, chars, owner = [], [], [], []
-    per_text = np.zeros((len(texts), 7))
-    for i, t in enumerate(texts):
-        if not t:
-            continue
-        for b in _PARAGRAPH.split(canonical(t).strip()):
-            if not b:
-                continue
-            found = _TOKEN.findall(b)
-            tokens += found
-            sizes.append(len(found))
-            chars.append(len(b) - b.count(" ") - b.count("\n"))
-            owner.append(i)
-    if not sizes:
+def measure(texts: int, tokens: list[str], codes: np.ndarray, blocks_of: np.ndarray, vocabulary: Vocabulary, ids: TokenIds) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of so many texts that ``take_apart`` took apart: features of the blocks of all texts, the block's text
+    number and characters, and per text (words, letters in words, symbols, lines, ended lines, common words,
+    characters)."""
+    per_text = np.zeros((texts, 7))
+    if not len(blocks_of):
         return np.zeros((0, len(FEATURES))), np.zeros(0, np.int64), np.zeros(0), per_text
-    size, char, own = np.array(sizes), np.array(chars, float), np.array(owner)
-    n, blocks = len(tokens), len(sizes)
-    kind = np.fromiter(map(ids.__getitem__, tokens), np.int64, n) if n else np.zeros(0, np.int64)
-    length = np.fromiter(map(len, tokens), np.int64, n)
+    own, size, char = blocks_of[:, 0], blocks_of[:, 1], blocks_of[:, 2].astype(float)
+    n, blocks = len(codes), len(size)
+    kinds = np.fromiter(map(ids.__getitem__, tokens), np.int64, len(tokens))
+    kind = kinds[codes]
+    length = np.fromiter(map(len, tokens), np.int64, len(tokens))[codes]
     lower, kind = (kind & 1).astype(bool), kind >> 1
     foreign = kind == -6
     kind[foreign] = -1
@@ -255,8 +310,11 @@ def measure(texts: list[str | None], vocabulary: Vocabulary, ids: TokenIds) -> t
     order = np.where(pairs >= 3, (np.bincount(block[:-1][good], pair[good], blocks) if n > 1 else 0) / np.maximum(pairs, 1), 1.0)
     at = np.nonzero(word)[0]
     code = kind[at] * 1009 + length[at]
-    for i in np.nonzero(foreign[at])[0].tolist():
-        code[i] += 1_000_003 * ord(tokens[at[i]][0]) + ord(tokens[at[i]][-1])
+    if foreign.any():
+        looks = np.zeros(len(tokens), np.int64)
+        for i in np.nonzero(kinds >> 1 == -6)[0].tolist():
+            looks[i] = 1_000_003 * ord(tokens[i][0]) + ord(tokens[i][-1])
+        code += looks[codes[at]]
     three = (code[:-2] * 31 + code[1:-1]) * 1_000_003 + code[2:] if len(at) > 2 else np.zeros(0, np.int64)
     wb = block[at]
     same = wb[:-2] == wb[2:] if len(at) > 2 else np.zeros(0, bool)
@@ -278,7 +336,7 @@ def measure(texts: list[str | None], vocabulary: Vocabulary, ids: TokenIds) -> t
     last = np.r_[line[1:] != line[:-1], True] if n else np.zeros(0, bool)
     ended_line = np.bincount(block[last & ended], minlength=blocks) + np.bincount(block[np.maximum(np.nonzero(line_end)[0] - 1, 0)][kind[np.maximum(np.nonzero(line_end)[0] - 1, 0)] == -5], minlength=blocks)
     for j, v in enumerate((words, in_words, char - in_words, lines_all, np.minimum(ended_line, lines_all), per((kind >= 0) & (kind < WORDS_OF_INTEREST)), char)):
-        per_text[:, j] = np.bincount(own, v, len(texts))
+        per_text[:, j] = np.bincount(own, v, texts)
     return features, own, char, per_text
 
 
@@ -339,7 +397,7 @@ def _measured(shared):
         vocabulary = shared.value
         ids = TokenIds(vocabulary)
         for batch in batches:
-            x, own, char, per_text = measure(batch.column(1).to_pylist(), vocabulary, ids)
+            x, own, char, per_text = measure(batch.num_rows, *take_apart(batch.column(1).to_pylist()), vocabulary, ids)
             # a label speaks for the block that makes up most of its document
             other = np.where(2 * char > per_text[own, 6], batch.column(0).to_numpy(zero_copy_only=False)[own], np.nan)
             yield pa.RecordBatch.from_arrays([pa.array(other), *(pa.array(c) for c in x.T)], ["other", *FEATURES])
@@ -347,12 +405,12 @@ def _measured(shared):
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id_col: str, label_col: str, train_docs: int = 2000) -> tuple[Vocabulary, Mixture]:
-    """The vocabulary of all documents, and the mixture fitted on the blocks of at most ``train_docs`` labelled ones."""
+def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id_col: str, label_col: str, train_docs: int = 2000, apart: DataFrame | None = None) -> tuple[Vocabulary, Mixture]:
+    """The vocabulary of all documents (``apart``: their texts, taken apart), and the mixture fitted on the blocks of at most ``train_docs`` labelled ones."""
     known = labels.where(F.col(label_col).isin("prose", "other")).groupBy(F.col(label_id_col).alias("i")).agg(F.avg((F.col(label_col) == "other").cast("double")).alias("other"))
     chosen = known.orderBy(F.xxhash64("i"), "i").limit(train_docs)
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where("t IS NOT NULL").join(F.broadcast(chosen), "i").dropDuplicates(["i"]).select("other", "t")
-    vocabulary = vocabulary_of(docs.select(F.col(text_col).alias("t")).where("t IS NOT NULL"))
+    vocabulary = vocabulary_of(docs.select(F.col(text_col).alias("t")).where("t IS NOT NULL"), apart)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     found = rows.mapInArrow(_measured(shared), "other double, " + ", ".join(f"{f} double" for f in FEATURES)).toArrow()
     table = np.array([c.to_numpy() for c in found.columns]).T.reshape(-1, 1 + len(FEATURES))
@@ -365,17 +423,16 @@ def _judge(model):
         vocabulary, mixture = model.value
         ids = TokenIds(vocabulary)
         for batch in batches:
-            for b in range(0, batch.num_rows, 2000):
-                part = batch.slice(b, 2000)
-                texts = part.column(1).to_pylist()
-                x, own, char, s = measure(texts, vocabulary, ids)
+            for id_list, stored in zip(batch.column("ids"), _stored(batch)):
+                n = len(id_list)
+                x, own, char, s = measure(n, *stored, vocabulary, ids)
                 kinds = mixture.classes(x)
-                shares = np.stack([np.bincount(own, char * (kinds == k), len(texts)) for k in ("prose", "list", "table", "junk")], 1) / np.maximum(s[:, 6:7], 1)
+                shares = np.stack([np.bincount(own, char * (kinds == k), n) for k in ("prose", "list", "table", "junk")], 1) / np.maximum(s[:, 6:7], 1)
                 keep = np.nonzero(s[:, 6] > 0)[0]
                 div = lambda a, c: (s[keep, a] / np.maximum(s[keep, c], 1))
                 other = 1 - shares[keep, 0]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(keep)), pa.array(s[keep, 0].astype(np.int64)), *map(pa.array, (div(1, 0), div(2, 6), div(4, 3), div(5, 0), *shares[keep].T)), pa.array(np.where(other > 0.5, np.array(["list", "table", "junk"])[shares[keep, 1:].argmax(1)], "prose").tolist(), pa.string())],
+                    [id_list.values.take(pa.array(keep)), pa.array(s[keep, 0].astype(np.int64)), *map(pa.array, (div(1, 0), div(2, 6), div(4, 3), div(5, 0), *shares[keep].T)), pa.array(np.where(other > 0.5, np.array(["list", "table", "junk"])[shares[keep, 1:].argmax(1)], "prose").tolist(), pa.string())],
                     ["id", "word_count", "mean_word_length", "symbol_ratio", "punct_line_share", "common_word_share", "prose_share", "list_share", "table_share", "junk_share", "verdict"],
                 )
 
@@ -384,7 +441,8 @@ def _judge(model):
 
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id", label_col: str = "quality", train_docs: int = 2000) -> DataFrame:
     """(id, statistics, shares of the kinds of text, verdict) of every text that is not blank."""
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col, text_col, label_id_col, label_col, train_docs))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).where("t IS NOT NULL")
+    apart = taken_apart(rows)
+    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col, text_col, label_id_col, label_col, train_docs, apart))
     stats = "word_count long, mean_word_length double, symbol_ratio double, punct_line_share double, common_word_share double, prose_share double, list_share double, table_share double, junk_share double, verdict string"
-    return rows.mapInArrow(_judge(model), f"id {rows.schema['id'].dataType.simpleString()}, {stats}")
+    return apart.where("codes IS NOT NULL").select("ids", "tokens", "codes", "blocks").mapInArrow(_judge(model), f"id {rows.schema['id'].dataType.simpleString()}, {stats}")

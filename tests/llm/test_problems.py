@@ -338,6 +338,34 @@ def test_prose_of_unseen_languages_is_prose(spark, data):
     assert [got[-i] for i in UNSEEN] == ["prose"] * 4 and got[-9] != "prose"
 
 
+def test_texts_are_taken_apart_once(spark, data):
+    labels = spark.read.parquet(f"{data}/quality_labels.parquet")
+    passed = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            passed.add(b.num_rows)
+            yield b
+
+    table = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").where("text IS NOT NULL")
+    rows = table.count()
+    assert quality.quality(table.mapInArrow(counted, table.schema), labels).count() > 0
+    assert passed.value <= 2 * rows  # once taken apart, once searched for the labelled ones
+
+
+def test_words_of_texts_taken_apart():
+    texts = [
+        "1. one, two ,, three!\n2) 3 four\n  - Five\n\n\n 12. x9 don't a_b ½ ①", "สวัสดีครับ ผมชื่อ!! ๑๒", "昨天我去商店，，但是！ 再见!!", None, "", " \n\n ", "no end", "a\x0bb\x1c\n \n\x0b c ... , d?! \n\n, e", "ΟΔΟΣ Übung 𝒳 𐐀𐐁 x",
+    ]
+    tokens, codes, blocks = quality.take_apart(texts)
+    words, owner = quality.Words(), np.repeat(blocks[:, 0], blocks[:, 1])
+    got = [[words[tokens[c]] for c in codes[owner == i].tolist() if words[tokens[c]] is not None] for i in range(len(texts))]
+    want = [["" if any(c.isdigit() for c in w) else w for w in quality._WORD.findall(canon.canonical(t).lower())] if t else [] for t in texts]
+    assert got == want and sum(map(len, want)) > 40
+    parts = list(quality._parts(["ab"] * 1201 + ["x" * quality.PART_CHARS, None, "y"]))
+    assert parts == [(0, 500), (500, 1000), (1000, 1202), (1202, 1204)] and not list(quality._parts([]))
+
+
 def test_mixture_is_fitted_at_every_size_and_named_by_labels():
     examples = np.array([e[1] for e in quality.EXAMPLES])
     for n in (0, 1, 30, 500):
